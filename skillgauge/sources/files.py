@@ -3,6 +3,7 @@
 import os
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +57,15 @@ def compact_pages(pages: DataFrame, path: str) -> None:
 
 def write_export(df: DataFrame, root: str, export_ts: str) -> str:
     """JSON lines below ``export_ts=...``; a repeated write replaces itself. Null
-    fields are written, so every line has all keys."""
+    fields are written, so every line has all keys.
+
+    A stamp beside the exports is written last. It says that the export is whole,
+    and makes one without any row count as an export too.
+    """
     path = f"{root}/export_ts={export_ts}"
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    stamp = df.sparkSession.range(1).select(F.lit(export_ts).alias("value"))
+    stamp.write.mode("overwrite").text(f"{root}_stamps/{export_ts}")
     return path
 
 
@@ -68,17 +75,16 @@ def read_exports(spark: SparkSession, root: str, schema: str) -> DataFrame:
 
 
 def latest_export(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest export. Its name is found in the folder names alone, and only
-    its files are read. Raises ``FileNotFoundError`` if there is none."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = []
-    if fs.exists(path):
-        names = [status.getPath().getName() for status in fs.listStatus(path)]
-    stamps = [n.split("=", 1)[1] for n in names if n.startswith("export_ts=")]
-    if not stamps:
-        raise FileNotFoundError(f"no exports in {root}")
-    return spark.read.schema(schema).json(f"{root}/export_ts={max(stamps)}")
+    """The newest whole export; no file of another one is opened. Raises
+    ``FileNotFoundError`` if there is none."""
+    try:
+        stamps = spark.read.text(f"{root}_stamps", recursiveFileLookup=True)
+        stamp = stamps.agg(F.max("value")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no exports in {root}") from None
+    return spark.read.schema(schema).json(f"{root}/export_ts={stamp}")
 
 
 def read_array_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
