@@ -4,7 +4,7 @@ A match is case-insensitive, starts and ends at a word edge, and at each
 position the longest name wins. Matches do not overlap.
 """
 
-import itertools
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -15,9 +15,9 @@ from skillgauge.operators.catalog import surfaces
 from skillgauge.operators.match_large import match_by_grams
 from skillgauge.session import spread
 
-# Above this many names, one pass over alternatives per position costs more
-# than looking n-grams up (see ``match_large``).
-PATTERN_NAMES = 1000
+# Most names that go into one pattern. A larger catalog is joined instead (see
+# ``match_large``), so neither the pattern nor its lookup grows without bound.
+PATTERN_NAMES = 20_000
 
 
 def unprocessed(jobs: DataFrame) -> DataFrame:
@@ -36,84 +36,105 @@ def _quoted(text: str) -> str:
 
 
 def _fold(character: str) -> str:
-    """Group of characters that may equal each other when case is ignored."""
-    return character.upper().lower()[0]
+    """The same for all characters that equal each other when case is ignored."""
+    upper = character.upper()
+    return (upper if len(upper) == 1 else character).lower()[0]
+
+
+def _tree(names: list[str]) -> dict:
+    """Names as a prefix tree: folded character -> [character, subtree]; the key
+    "" holds the edge that must follow a name ending there."""
+    root: dict = {}
+    for name in names:
+        node = root
+        for character in name:
+            node = node.setdefault(_fold(character), [character, {}])[1]
+        node[""] = f"(?![{WORD}])" if _is_word(name[-1]) else f"(?=[{WORD}])"
+    return root
+
+
+def _alternatives(node: dict) -> str:
+    """Pattern for all ends below a node: going on comes before stopping, so the
+    longest name is tried first."""
+    branches = []
+    for key, value in node.items():
+        if key == "":
+            continue
+        text, below = value
+        while len(below) == 1 and "" not in below:
+            ((character, below),) = below.values()
+            text += character
+        branches.append(_quoted(text) + _alternatives(below))
+    if "" in node:
+        branches.append(node[""])
+    return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
 
 
 def build_pattern(names: list[str]) -> str:
-    """One regular expression for all names, longest first.
+    """One regular expression that matches the longest name at each position.
 
-    A word edge is written as a look-around, so it means the same on every
-    Java version. Names are grouped by their left edge and their first letter;
-    only one group can match at a position, so the order inside a group is all
-    that matters, and most positions are ruled out by a single test.
+    A word edge is written as a look-around, so it means the same on every Java
+    version. Names share their prefixes, so the work per position follows the
+    letters that agree and not the number of names, and most positions are ruled
+    out by the left edge alone.
     """
-    longest_first = sorted(set(names) - {""}, key=lambda name: (-len(name), name))
-
-    def left_edge(name):
-        return _is_word(name[0])
-
-    def alternative(name):
-        edge = f"(?![{WORD}])" if _is_word(name[-1]) else f"(?=[{WORD}])"
-        return _quoted(name[1:]) + edge
-
-    sides = []
-    for is_word, side in itertools.groupby(
-        sorted(longest_first, key=left_edge), key=left_edge
-    ):
-        letters: dict[str, dict[str, list[str]]] = {}
-        for name in side:
-            letters.setdefault(_fold(name[0]), {}).setdefault(name, [])
-        groups = []
-        for group in letters.values():
-            firsts = {name[0].casefold() for name in group}
-            if len(firsts) == 1:
-                first = next(iter(group))[0]
-                tails = "|".join(alternative(name) for name in group)
-                groups.append(f"{_quoted(first)}(?:{tails})")
-            else:
-                groups += [_quoted(n[0]) + alternative(n) for n in group]
-        edge = f"(?<![{WORD}])" if is_word else f"(?<=[{WORD}])"
-        sides.append(edge + "(?:" + "|".join(groups) + ")")
+    spelled = [name for name in names if name]
+    inner = [name for name in spelled if _is_word(name[0])]
+    outer = [name for name in spelled if not _is_word(name[0])]
+    sides = [
+        edge + _alternatives(_tree(sorted(side)))
+        for edge, side in ((f"(?<![{WORD}])", inner), (f"(?<=[{WORD}])", outer))
+        if side
+    ]
     return "(?iu)(?:" + "|".join(sides) + ")"
 
 
 def _canonical(matches: Column, names: dict[str, str]) -> Column:
     """Distinct catalog spellings of matched texts. A text whose lower-case form
-    is unknown stays as it was written."""
-    lookup = F.map_from_arrays(
-        F.array(*[F.lit(low) for low in names]),
-        F.array(*[F.lit(name) for name in names.values()]),
-    )
-    return F.array_distinct(
-        F.transform(
-            F.array_distinct(matches),
-            lambda text: F.coalesce(F.try_element_at(lookup, F.lower(text)), text),
-        )
+    is unknown stays as it was written.
+
+    A map is searched from end to end, so names are kept by their first letters.
+    """
+    by_start: dict[str, dict[str, str]] = {}
+    for low, name in names.items():
+        by_start.setdefault(low[:2], {})[low] = name
+    lookup = F.from_json(
+        F.lit(json.dumps(by_start)), "map<string,map<string,string>>"
     )
 
+    def name_of(text):
+        low = F.lower(text)
+        same_start = F.try_element_at(lookup, F.substring(low, 1, 2))
+        return F.coalesce(F.try_element_at(same_start, low), text)
+
+    return F.array_distinct(F.transform(F.array_distinct(matches), name_of))
+
 
 def match_pairs(
-    jobs: DataFrame, catalog: DataFrame, match_variants: bool = False
+    jobs: DataFrame,
+    catalog: DataFrame,
+    match_variants: bool = False,
+    pattern_names: int = PATTERN_NAMES,
 ) -> DataFrame:
     """``(job_id, job_title, skill_name)``, each skill once per job row.
 
-    Reads at most ``PATTERN_NAMES`` + 1 catalog rows to the driver to choose the
+    Reads at most ``pattern_names`` + 1 catalog rows to the driver to choose the
     method. A catalog that fits becomes one literal pattern, and matching and
     naming stay inside the row: no join and no shuffle. A larger catalog is
     joined on n-grams, with the same result.
     """
-    rows = surfaces(catalog, match_variants).limit(PATTERN_NAMES + 1).collect()
-    if not rows:
+    rows = surfaces(catalog, match_variants).limit(pattern_names + 1).collect()
+    if len(rows) > pattern_names:
+        return match_by_grams(jobs, catalog, match_variants)
+    searched = [row.surface for row in rows if row.searched]
+    if not searched:
         return jobs.select(
             "job_id", "job_title", F.lit(None).cast("string").alias("skill_name")
         ).limit(0)
-    if len(rows) > PATTERN_NAMES:
-        return match_by_grams(jobs, catalog, match_variants)
-    pattern = build_pattern([row.surface for row in rows if row.searched])
     names = {row.lower: row.skill_name for row in rows}
-    # Every name has a row of its own, also where only a variant is searched.
-    found = F.regexp_extract_all("job_description", F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(
+        "job_description", F.lit(build_pattern(searched)), F.lit(0)
+    )
     texts = spread(jobs.select("job_id", "job_title", "job_description"))
     return texts.select(
         "job_id",

@@ -114,12 +114,13 @@ parsed AS (
       END AS posted_date
   FROM postings)"""
 
-# Entities that occur in the pages.
+# Entities that occur in the pages; some lost their semicolon.
 def _decoded(text: str) -> str:
-    return (
-        f"replace(replace(replace(replace({text}, '&copy;', '©'), '&middot;', '·'), "
-        "'&quot;', '\"'), '&amp;', '&')"
-    )
+    for name, character in (
+        ("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")
+    ):
+        text = f"regexp_replace({text}, '&{name};?', '{character}', 'g')"
+    return text
 
 
 _NODES = (
@@ -168,6 +169,8 @@ GROUP BY 1"""
 norm AS (SELECT page_id, {_padded('job_description')} AS t FROM page_texts)
 SELECT skill_name, count(*) AS job_count FROM norm, cat WHERE {_HAS} GROUP BY 1"""
 
+    sql["word_counts_by_grams"] = sql["word_counts"]
+
     # Analytics.
     sql["extraction_metadata"] = f"""WITH {_DONE}
 SELECT count(DISTINCT d.doc_id) AS total_jobs,

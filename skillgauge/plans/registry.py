@@ -11,6 +11,7 @@ from skillgauge.functions.text import html_to_text
 from skillgauge.operators import analytics, dom, extract, merge, quality, trends
 from skillgauge.operators.catalog import upsert_catalog
 from skillgauge.operators.match import match_pairs, unprocessed
+from skillgauge.operators.match_large import match_by_grams
 from skillgauge.plans import views
 from skillgauge.plans.views import stored, table
 from skillgauge.session import fresh_path, spread
@@ -60,25 +61,34 @@ def seed_skill_counts(spark, sf_dir):
 
 
 def _word_catalog(spark, sf_dir):
-    """Every word of the benchmark texts as a skill: too many for one pattern."""
-    words = F.explode(
-        F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    )
-    names = table(spark, sf_dir, "benchmark").select(words.alias("skill_name"))
-    return names.distinct().select(
-        "skill_name",
-        F.lit("word").alias("category"),
-        F.array().cast("array<string>").alias("tags"),
-        F.array().cast("array<string>").alias("variants"),
-    )
+    """Every word of the benchmark texts as a skill."""
+
+    def build():
+        words = F.explode(
+            F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+        )
+        names = table(spark, sf_dir, "benchmark").select(words.alias("skill_name"))
+        return names.distinct().select(
+            "skill_name",
+            F.lit("word").alias("category"),
+            F.array().cast("array<string>").alias("tags"),
+            F.array().cast("array<string>").alias("variants"),
+        )
+
+    return stored(spark, sf_dir, "word_catalog", build)
 
 
 @query
 def word_counts(spark, sf_dir):
-    catalog = stored(
-        spark, sf_dir, "word_catalog", lambda: _word_catalog(spark, sf_dir)
-    )
-    return analytics.skill_counts(match_pairs(views.jobs(spark, sf_dir), catalog))
+    jobs, catalog = views.jobs(spark, sf_dir), _word_catalog(spark, sf_dir)
+    return analytics.skill_counts(match_pairs(jobs, catalog))
+
+
+@query
+def word_counts_by_grams(spark, sf_dir):
+    """As ``word_counts``, by the method for catalogs too large for a pattern."""
+    jobs, catalog = views.jobs(spark, sf_dir), _word_catalog(spark, sf_dir)
+    return analytics.skill_counts(match_by_grams(jobs, catalog))
 
 
 @query
