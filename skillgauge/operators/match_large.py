@@ -1,11 +1,11 @@
 """Matching for catalogs with too many names for one pattern.
 
 Texts are cut into words and single other characters. Every run of such pieces
-that is as long as some catalog name is looked up in the catalog, and the hits
+that is shaped like some catalog name is looked up in the catalog, and the hits
 of one text are then resolved from left to right, longest first.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from skillgauge.functions.text import WORD
@@ -31,37 +31,45 @@ def _is_word(piece: Column) -> Column:
     return F.coalesce(piece.rlike(f"^[{WORD}]"), F.lit(False))
 
 
-def _runs(lengths: list[int]) -> Column:
-    """All runs of the wanted lengths in ``pieces``, with position and edges."""
-    piece_at = lambda i: F.try_element_at("pieces", i)
+def _runs(shape: Row) -> Column:
+    """Runs of ``pieces`` with the length and the edges of one shape of name."""
+    length = shape.n_pieces
+    last = F.size("pieces") - length + 1
+    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
+        F.array().cast("array<int>")
+    )
 
-    def run(start, length):
-        text = F.array_join(F.slice("pieces", start, length), "")
-        return F.struct(
-            start.alias("start"),
-            (start + length).alias("end"),
-            text.alias("text"),
-            F.when(start > 1, _is_word(piece_at(F.greatest(start - 1, F.lit(1)))))
-            .otherwise(False)
-            .alias("word_before"),
-            _is_word(piece_at(start + length)).alias("word_after"),
-        )
+    def word_at(position):
+        return F.try_element_at("is_word", position)
 
-    def runs_of(length):
-        last = F.size("pieces") - length + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last))
-        return F.transform(
-            F.coalesce(starts, F.array().cast("array<int>")),
-            lambda start: run(start, F.lit(length)),
+    def fits(start):
+        end = start + length
+        ok = (word_at(start) == F.lit(shape.word_first)) & (
+            word_at(end - 1) == F.lit(shape.word_last)
+        )
+        # Pieces are whole words, so a word edge needs no test; any other edge
+        # must touch a word.
+        if not shape.word_first:
+            ok = ok & (start > 1) & word_at(F.greatest(start - 1, F.lit(1)))
+        if not shape.word_last:
+            ok = ok & F.coalesce(word_at(end), F.lit(False))
+        return ok
+
+    def run(start):
+        if length == 1:
+            text = F.element_at("pieces", start)
+        else:
+            text = F.array_join(F.slice("pieces", start, length), "")
+        return F.struct(
+            start.alias("start"), (start + length).alias("end"), text.alias("text")
         )
 
-    return F.concat(*[runs_of(length) for length in lengths])
+    return F.transform(F.filter(starts, fits), run)
 
 
 def _leftmost_longest(hits: Column) -> Column:
     """Distinct skills of the non-overlapping hits of one text."""
-    ordered = F.array_sort(hits)
-    start = F.struct(
+    nothing = F.struct(
         F.lit(0).alias("end"), F.array().cast("array<string>").alias("skills")
     )
 
@@ -74,7 +82,7 @@ def _leftmost_longest(hits: Column) -> Column:
             ),
         ).otherwise(state)
 
-    return F.aggregate(ordered, start, take, lambda state: state["skills"])
+    return F.aggregate(F.array_sort(hits), nothing, take, lambda s: s["skills"])
 
 
 def match_by_grams(
@@ -83,60 +91,71 @@ def match_by_grams(
     """Same result as the pattern method of ``match_pairs``.
 
     Texts never move: only hits are grouped by row, and a text has no more hits
-    than it has pieces. The catalog is broadcast when it is small enough and is
-    otherwise joined with salts.
+    than pieces per shape. The catalog is broadcast when it is small enough and
+    is otherwise joined with salts, as common words are hot keys.
     """
-    names = surfaces(catalog, match_variants)
-    searched = names.filter("searched").select(
+    names = surfaces(catalog, match_variants).select(
         _fold(F.col("surface")).alias("fold"),
         F.length("surface").alias("chars"),
+        "lower",
+        "skill_name",
+        "searched",
         F.size(_pieces(F.col("surface"))).alias("n_pieces"),
         _is_word(F.substring("surface", 1, 1)).alias("word_first"),
         _is_word(F.expr("right(surface, 1)")).alias("word_last"),
     )
-    # A name has at most 100 characters, so there are at most 100 lengths.
-    lengths = [
-        row.n_pieces
-        for row in searched.select("n_pieces").distinct().orderBy("n_pieces").collect()
-    ]
-    # One entry per key; spellings that share a key share their edges too.
-    keys = searched.groupBy("fold", "chars").agg(
-        F.first("word_first").alias("word_first"),
-        F.first("word_last").alias("word_last"),
+    # A name has at most 100 characters and two kinds of edge on each side.
+    shapes = (
+        names.filter("searched")
+        .select("n_pieces", "word_first", "word_last")
+        .distinct()
+        .collect()
+    )
+    if not shapes:
+        return jobs.select(
+            "job_id", "job_title", F.lit(None).cast("string").alias("skill_name")
+        ).limit(0)
+    # One entry per key; the spellings of one key differ in case only.
+    keys = (
+        names.groupBy("fold", "chars")
+        .agg(
+            F.bool_or("searched").alias("searched"),
+            F.collect_list(F.struct("lower", "skill_name")).alias("spellings"),
+        )
+        .filter("searched")
+        .drop("searched")
     )
     texts = spread(jobs.select("job_id", "job_title", "job_description"))
+    cut = texts.select(
+        "job_id",
+        "job_title",
+        F.xxhash64("job_id", "job_title", "job_description").alias("row_id"),
+        _pieces(F.col("job_description")).alias("pieces"),
+    ).withColumn("is_word", F.transform("pieces", _is_word))
     runs = (
-        texts.select(
+        cut.select(
             "job_id",
             "job_title",
-            F.xxhash64("job_id", "job_title", "job_description").alias("row_id"),
-            _pieces(F.col("job_description")).alias("pieces"),
+            "row_id",
+            F.explode(F.concat(*[_runs(shape) for shape in shapes])).alias("run"),
         )
-        .select("job_id", "job_title", "row_id", F.explode(_runs(lengths)).alias("run"))
         .select("job_id", "job_title", "row_id", "run.*")
         .withColumn("fold", _fold(F.col("text")))
         .withColumn("chars", F.length("text"))
     )
-    hits = lookup_join(
-        runs, keys, ["fold", "chars"], "inner", ["job_id", "start"]
-    ).filter(
-        (F.col("word_first") | F.col("word_before"))
-        & (F.col("word_last") | F.col("word_after"))
-    )
-    named = lookup_join(
-        hits.withColumn("lower", F.lower("text")),
-        names.select("lower", "skill_name"),
-        ["lower"],
-        "left",
-        ["job_id", "start"],
-    ).withColumn("skill", F.coalesce("skill_name", "text"))
-    by_row = named.groupBy("row_id", "job_id", "job_title").agg(
+    hits = lookup_join(runs, keys, ["fold", "chars"], "inner", ["job_id", "start"])
+    spelled = F.filter("spellings", lambda s: s["lower"] == F.lower("text"))
+    skill = F.coalesce(F.try_element_at(spelled, F.lit(1))["skill_name"], "text")
+    by_row = hits.groupBy("row_id", "job_id", "job_title").agg(
         _leftmost_longest(
             F.collect_list(
-                F.struct("start", (-F.col("end")).alias("minus_end"), "end", "skill")
+                F.struct(
+                    "start",
+                    (-F.col("end")).alias("minus_end"),
+                    "end",
+                    skill.alias("skill"),
+                )
             )
         ).alias("skills")
     )
-    return by_row.select(
-        "job_id", "job_title", F.explode("skills").alias("skill_name")
-    )
+    return by_row.select("job_id", "job_title", F.explode("skills").alias("skill_name"))

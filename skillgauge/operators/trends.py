@@ -4,8 +4,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skillgauge.functions.ids import stable_id
-from skillgauge.functions.text import WORD
-from skillgauge.operators.joins import lookup_join
+from skillgauge.operators.match import build_pattern
+from skillgauge.session import spread
 
 
 def daily_downloads(events: DataFrame, now: Column) -> DataFrame:
@@ -125,18 +125,15 @@ def search_jobs(jobs: DataFrame, words: list[str]) -> DataFrame:
     The score adds, per word, its number of occurrences times
     ``ln(jobs / jobs with the word)``. Counting is one pass over the texts.
     """
-    words = sorted({word.lower() for word in words})
-    padded = F.concat(
-        F.lit(" "),
-        F.regexp_replace(F.lower("job_description"), f"[^{WORD}]", "  "),
-        F.lit(" "),
-    )
-    counted = jobs.withColumn("_text", padded).select(
+    words = sorted({word.lower() for word in words if word})
+    texts = spread(jobs.select("job_id", "job_description"))
+    counted = texts.select(
         "job_id",
         *[
-            ((F.length("_text") - F.length(F.replace("_text", F.lit(f" {w} "), F.lit(""))))
-             / F.lit(len(w) + 2)).cast("long").alias(f"n{i}")
-            for i, w in enumerate(words)
+            F.regexp_count("job_description", F.lit(build_pattern([word])))
+            .cast("long")
+            .alias(f"n{i}")
+            for i, word in enumerate(words)
         ],
     )
     stats = counted.agg(
