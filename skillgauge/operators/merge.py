@@ -61,9 +61,10 @@ def absent_rows(
     The fold and the anti join share one shuffle of the batch. Of the target
     only the key columns are read.
     """
-    known = (
-        target.select(*keys).dropna(how="any").withColumn(_OPEN, F.lit(""))
-    )
+    # Always empty, but not a constant: the optimizer would take a constant out of
+    # the join key, and rows with a null in their key would all meet in one task.
+    complete = F.substring(F.col(keys[0]).cast("string"), 1, 0)
+    known = target.select(*keys).dropna(how="any").withColumn(_OPEN, complete)
     first = first_per_key(batch, keys, order)
     return first.join(known, [*keys, _OPEN], "left_anti").select(*batch.columns)
 
