@@ -27,7 +27,13 @@ from skillgauge.operators.quality import (
     row_errors,
     stored_values,
 )
-from skillgauge.sources.files import latest_export, read_pages, write_export
+from skillgauge.sources.files import (
+    latest_export,
+    latest_stamp,
+    read_export,
+    read_pages,
+    write_export,
+)
 from skillgauge.sources.tables import append_load, read_loads, read_table
 
 
@@ -100,12 +106,18 @@ def current_jobs(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def open_jobs(spark: SparkSession, root: str) -> DataFrame:
-    """Jobs without a mark. Loads in which every job is marked are found from ids
-    alone, and their texts are not read."""
-    jobs = read_table(spark, root, "jobs", schemas.JOBS)
+def _unmarked(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Ids (with load) of jobs without a mark, and the marked ids."""
+    jobs = read_table(spark, root, "jobs", schemas.JOBS).select("job_id", "load_id")
     marks = read_table(spark, root, "job_marks", schemas.JOB_MARKS).select("job_id")
-    waiting = jobs.select("job_id", "load_id").join(marks, "job_id", "left_anti")
+    return jobs.join(marks, "job_id", "left_anti"), marks
+
+
+def open_jobs(spark: SparkSession, root: str) -> DataFrame:
+    """Jobs to scan for skills. Loads in which every job is marked are found from
+    ids alone, and their texts are not read."""
+    waiting, marks = _unmarked(spark, root)
+    # One value per load that was ever made.
     loads = [row.load_id for row in waiting.select("load_id").distinct().collect()]
     rows = read_loads(spark, root, "jobs", schemas.JOBS, loads)
     return unprocessed(rows).join(marks, "job_id", "left_anti")
@@ -114,7 +126,10 @@ def open_jobs(spark: SparkSession, root: str) -> DataFrame:
 def extract_pairs(
     spark: SparkSession, root: str, stamp: str, match_variants: bool = False
 ) -> str:
-    """Open jobs x catalog -> pairs export. Returns its path."""
+    """Open jobs x catalog -> pairs export. Returns its path. The ids of the jobs
+    that are scanned are kept beside it."""
+    waiting, _ = _unmarked(spark, root)
+    write_export(waiting.select("job_id"), f"{root}/exports/scanned", stamp)
     pairs = match_pairs(
         open_jobs(spark, root), current_catalog(spark, root), match_variants
     )
@@ -128,9 +143,11 @@ def load_pairs(
     duplicates, failed, total.
 
     ``mark="inserted"`` marks jobs that got a new pair; ``mark="scanned"`` marks
-    every job that was open, so that jobs without skills are not read again.
+    every job that was scanned, so that jobs without skills are not read again.
     """
-    export = latest_export(spark, f"{root}/exports/pairs", schemas.PAIRS_EXPORT)
+    exports = f"{root}/exports"
+    newest = latest_stamp(spark, f"{exports}/pairs")
+    export = read_export(spark, f"{exports}/pairs", schemas.PAIRS_EXPORT, newest)
     jobs = read_table(spark, root, "jobs", schemas.JOBS)
     stored = read_table(spark, root, "job_skills", schemas.JOB_SKILLS, but=stamp)
     status_path = f"{root}/pair_status/run={stamp}"
@@ -141,7 +158,7 @@ def load_pairs(
     append_load(pairs_to_insert(status, now), root, "job_skills", stamp)
 
     if mark == "scanned":
-        done = open_jobs(spark, root)
+        done = read_export(spark, f"{exports}/scanned", "job_id string", newest)
     else:
         done = status.filter(F.col("status") == INSERTED)
     marks = (

@@ -74,19 +74,27 @@ def read_exports(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, export_ts string").json(root)
 
 
-def latest_export(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest whole export; no file of another one is opened. Raises
-    ``FileNotFoundError`` if there is none."""
+def latest_stamp(spark: SparkSession, root: str) -> str:
+    """Name of the newest whole export. Raises ``FileNotFoundError`` if there is
+    none."""
     try:
         stamps = spark.read.text(f"{root}_stamps", recursiveFileLookup=True)
-        stamp = stamps.agg(F.max("value")).first()[0]
+        return stamps.agg(F.max("value")).first()[0]
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no exports in {root}") from None
+
+
+def read_export(spark: SparkSession, root: str, schema: str, stamp: str) -> DataFrame:
+    """One export; no file of another one is opened."""
     return spark.read.schema(schema).json(f"{root}/export_ts={stamp}")
 
 
+def latest_export(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    return read_export(spark, root, schema, latest_stamp(spark, root))
+
+
 def read_array_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Export files that hold one JSON array of objects each."""
     return spark.read.schema(schema).option("multiLine", "true").json(path)
@@ -99,6 +107,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite")
         .option("header", "true")
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("quoteAll", "true")
         .option("emptyValue", "")
         .option("nullValue", "\\N")
@@ -112,6 +122,8 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
         .option("header", "true")
         .option("multiLine", "true")
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("emptyValue", "")
         .option("nullValue", "\\N")
         .csv(path)
