@@ -48,17 +48,20 @@ def _by_demand(counts: DataFrame, name: str, count: str) -> DataFrame:
     return counts.orderBy(F.desc(count), F.asc(name))
 
 
-def _jobs_per_skill(pairs: DataFrame) -> DataFrame:
-    # Distinct counting shuffles by (skill, job) and then adds up partial
-    # counts, so a skill that most jobs ask for is no hot spot.
+def jobs_per_skill(pairs: DataFrame) -> DataFrame:
+    """Number of jobs that ask for each skill, in no order.
+
+    Distinct counting shuffles by (skill, job) and then adds up partial counts, so
+    a skill that most jobs ask for is no hot spot.
+    """
     return pairs.groupBy("skill_name").agg(
         F.countDistinct("job_id").alias("job_count")
     )
 
 
 def skill_counts(job_skills: DataFrame) -> DataFrame:
-    """Every skill with the number of jobs that ask for it."""
-    return _by_demand(_jobs_per_skill(job_skills), "skill_name", "job_count")
+    """Every skill with the number of jobs that ask for it, most wanted first."""
+    return _by_demand(jobs_per_skill(job_skills), "skill_name", "job_count")
 
 
 def top_skills(job_skills: DataFrame, limit: int = TOP_SKILLS) -> DataFrame:
@@ -119,13 +122,8 @@ def tag_cooccurrence(
     catalog is cut down before it meets the pairs.
     """
     wanted = F.array(*[F.lit(tag) for tag in tags]).cast("array<string>")
-    other = (
-        skills.filter(F.arrays_overlap("tags", wanted))
-        .select("skill_id", F.explode("tags").alias("tag"))
-        .filter(~F.col("tag").isin(tags) if tags else F.lit(False))
-        .distinct()
-        .groupBy("skill_id")
-        .agg(F.collect_list("tag").alias("tags"))
+    other = skills.filter(F.arrays_overlap("tags", wanted)).select(
+        "skill_id", F.array_compact(F.array_except("tags", wanted)).alias("tags")
     )
     tagged = lookup_join(
         job_skills.select("job_id", "skill_id"), other, ["skill_id"], "inner", ["job_id"]

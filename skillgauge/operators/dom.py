@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from skillgauge.operators.extract import JOB_PAGE, SOURCE
-from skillgauge.session import spread
 
 _VOID = set(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -151,7 +150,7 @@ def parse_selectors(pages: DataFrame, source: str = SOURCE) -> DataFrame:
     Pages that hold none of the elements are not sent to Python.
     """
     hinted: Column = F.when(F.col("html").rlike(_POSTING_HINT), F.col("html"))
-    read = spread(pages.select("file_name", "html")).select(
+    read = pages.select(
         "file_name",
         F.col("html").isNull().alias("_unread"),
         _posting_fields(hinted).alias("f"),
@@ -217,7 +216,7 @@ def parse_listing(
 ) -> DataFrame:
     """One row per job card of each stored listing page."""
     carded = pages.filter(F.col("html").contains("data-jk"))
-    cards = spread(carded.select("file_name", "html")).mapInPandas(
+    cards = carded.select("file_name", "html").mapInPandas(
         _cards,
         "file_name string, card_no int, job_id string, job_title string, "
         "job_url string",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from skillgauge.functions.dates import posted_date
 from skillgauge.functions.text import html_to_text
-from skillgauge.session import spread
 
 # They decide which block, id and address a page yields.
 SOURCE = "indeed"
@@ -66,7 +65,7 @@ def parse_postings(pages: DataFrame, source: str = SOURCE) -> DataFrame:
     file that is not UTF-8. Narrow: nothing is shuffled.
     """
     block = F.regexp_extract("html", JSON_LD, 1)
-    read = spread(pages.select("file_name", "html")).withColumn("_block", block)
+    read = pages.select("file_name", "html").withColumn("_block", block)
     read = read.withColumn("_json", F.try_parse_json("_block"))
 
     scalar = ["STRING", "BIGINT", "DECIMAL", "DOUBLE", "BOOLEAN", "VOID"]

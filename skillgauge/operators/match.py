@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from skillgauge.functions.text import WORD
 from skillgauge.operators.catalog import surfaces
 from skillgauge.operators.match_large import match_by_grams
-from skillgauge.session import spread
 
 # Most names that go into one pattern. A larger catalog is joined instead (see
 # ``match_large``), so neither the pattern nor its lookup grows without bound.
@@ -135,8 +134,7 @@ def match_pairs(
     found = F.regexp_extract_all(
         "job_description", F.lit(build_pattern(searched)), F.lit(0)
     )
-    texts = spread(jobs.select("job_id", "job_title", "job_description"))
-    return texts.select(
+    return jobs.select(
         "job_id",
         "job_title",
         F.explode(_canonical(found, names)).alias("skill_name"),

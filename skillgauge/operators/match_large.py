@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from skillgauge.functions.text import WORD
 from skillgauge.operators.catalog import surfaces
 from skillgauge.operators.joins import lookup_join
-from skillgauge.session import spread
 
 _PIECE = rf"[{WORD}]+|[^{WORD}]"
 
@@ -125,8 +124,7 @@ def match_by_grams(
         .filter("searched")
         .drop("searched")
     )
-    texts = spread(jobs.select("job_id", "job_title", "job_description"))
-    cut = texts.select(
+    cut = jobs.select(
         "job_id",
         "job_title",
         F.xxhash64("job_id", "job_title", "job_description").alias("row_id"),

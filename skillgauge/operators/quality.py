@@ -50,10 +50,6 @@ def stored_values(
     return rows.withColumns({**cut, **parsed})
 
 
-def _count(condition: Column, name: str) -> Column:
-    return F.count_if(condition).alias(name)
-
-
 def parse_metrics(parsed: DataFrame, key: str = "job_source_id") -> DataFrame:
     """One row: files, saved, duplicates, failed.
 
@@ -90,14 +86,16 @@ def load_summary(status: DataFrame) -> DataFrame:
 
 def jobs_load_summary(checked: DataFrame, inserted: DataFrame) -> DataFrame:
     """One row: inserted, failed, total. Rows whose key exists are in neither."""
-    counts = checked.agg(
-        _count(F.col("error_reason").isNotNull(), "failed"),
-        F.count("*").alias("total"),
+    given = checked.select(
+        F.lit(False).alias("inserted"),
+        F.col("error_reason").isNotNull().alias("failed"),
+        F.lit(True).alias("total"),
+    )
+    added = inserted.select(
+        F.lit(True).alias("inserted"),
+        F.lit(False).alias("failed"),
+        F.lit(False).alias("total"),
     )
-    added = inserted.agg(F.count("*").alias("inserted"))
-    # Two single rows side by side.
-    return (
-        added.withColumn("_one", F.lit(1))
-        .join(counts.withColumn("_one", F.lit(1)), "_one")
-        .select("inserted", "failed", "total")
+    return given.unionAll(added).agg(
+        *[F.count_if(c).alias(c) for c in ("inserted", "failed", "total")]
     )

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from skillgauge.functions.ids import stable_id
 from skillgauge.operators.match import build_pattern
-from skillgauge.session import spread
 
 
 def daily_downloads(events: DataFrame, now: Column) -> DataFrame:
@@ -87,7 +86,8 @@ def skill_lift(jobs: DataFrame, job_skills: DataFrame, skill: str) -> DataFrame:
     )
     # Single-row frames, read once as scalar subqueries.
     n_jobs = total.scalar()
-    n_chosen = each.filter(F.col("skill_name") == skill).select("n_skill").scalar()
+    chosen = job_skills.filter(F.col("skill_name") == skill)
+    n_chosen = chosen.agg(F.countDistinct("job_id").alias("n")).scalar()
     return each.filter(
         (F.col("skill_name") != skill) & (F.col("n_both") > 0)
     ).select(
@@ -126,28 +126,30 @@ def search_jobs(jobs: DataFrame, words: list[str]) -> DataFrame:
     ``ln(jobs / jobs with the word)``. Counting is one pass over the texts.
     """
     words = sorted({word.lower() for word in words if word})
-    texts = spread(jobs.select("job_id", "job_description"))
-    counted = texts.select(
+    counted = jobs.select(
         "job_id",
-        *[
-            F.regexp_count("job_description", F.lit(build_pattern([word])))
-            .cast("long")
-            .alias(f"n{i}")
-            for i, word in enumerate(words)
-        ],
+        F.array(
+            *[
+                F.regexp_count("job_description", F.lit(build_pattern([word])))
+                for word in words
+            ]
+        ).alias("hits"),
     )
-    stats = counted.agg(
-        F.struct(
-            F.count("*").alias("jobs"),
-            *[F.count_if(F.col(f"n{i}") > 0).alias(f"d{i}") for i in range(len(words))],
-        ).alias("s")
+    each = range(len(words))
+    weights = counted.agg(
+        F.array(
+            *[
+                F.ln(F.count("*") / F.nullif(F.count_if(F.col("hits")[i] > 0), F.lit(0)))
+                for i in each
+            ]
+        ).alias("w")
     ).scalar()
-    weight = [
-        F.col(f"n{i}") * F.ln(stats["jobs"] / stats[f"d{i}"]) for i in range(len(words))
-    ]
-    holds_all = F.lit(True)
-    for i in range(len(words)):
-        holds_all = holds_all & (F.col(f"n{i}") > 0)
-    return counted.filter(holds_all).select(
-        "job_id", F.round(sum(weight, F.lit(0.0)), 6).alias("score")
+    score = F.aggregate(
+        F.zip_with("hits", "weights", lambda n, w: n * w), F.lit(0.0), lambda s, x: s + x
+    )
+    # Exploding zero or one score keeps the counting in one place; a filter on the
+    # counts would be moved down and count a second time.
+    found = F.when(F.forall("hits", lambda n: n > 0), F.array(F.round(score, 6)))
+    return counted.withColumn("weights", weights).select(
+        "job_id", F.explode(found).alias("score")
     )

@@ -27,6 +27,7 @@ from skillgauge.operators.quality import (
     row_errors,
     stored_values,
 )
+from skillgauge.session import spread
 from skillgauge.sources.files import (
     latest_export,
     latest_stamp,
@@ -41,7 +42,7 @@ def parse_folder(
     spark: SparkSession, folder: str, root: str, stamp: str, source: str = SOURCE
 ) -> DataFrame:
     """Saved pages -> jobs export. Returns files, saved, duplicates, failed."""
-    return parse_pages(read_pages(spark, folder), root, stamp, source)
+    return parse_pages(spread(read_pages(spark, folder)), root, stamp, source)
 
 
 def parse_pages(
@@ -119,7 +120,7 @@ def open_jobs(spark: SparkSession, root: str) -> DataFrame:
     waiting, marks = _unmarked(spark, root)
     # One value per load that was ever made.
     loads = [row.load_id for row in waiting.select("load_id").distinct().collect()]
-    rows = read_loads(spark, root, "jobs", schemas.JOBS, loads)
+    rows = spread(read_loads(spark, root, "jobs", schemas.JOBS, loads))
     return unprocessed(rows).join(marks, "job_id", "left_anti")
 
 

@@ -13,8 +13,8 @@ from skillgauge.operators.catalog import upsert_catalog
 from skillgauge.operators.match import match_pairs, unprocessed
 from skillgauge.operators.match_large import match_by_grams
 from skillgauge.plans import views
-from skillgauge.plans.views import stored, table
-from skillgauge.session import fresh_path, spread
+from skillgauge.plans.views import stored, table, texts
+from skillgauge.session import fresh_path
 from skillgauge.sources import files
 from skillgauge.sources.seed import seed_catalog
 from skillgauge.sources.tables import append_load, read_table
@@ -39,25 +39,25 @@ def now() -> Column:
 
 @query
 def skill_pairs(spark, sf_dir):
-    return match_pairs(views.jobs(spark, sf_dir), views.term_catalog(spark))
+    return match_pairs(views.job_texts(spark, sf_dir), views.term_catalog(spark))
 
 
 @query
 def unprocessed_pairs(spark, sf_dir):
-    waiting = unprocessed(views.jobs_partly_processed(spark, sf_dir))
+    waiting = unprocessed(views.jobs_partly_processed(spark, sf_dir, texts))
     return match_pairs(waiting, views.term_catalog(spark))
 
 
 @query
 def variant_pairs(spark, sf_dir):
     catalog = views.variant_catalog(spark)
-    return match_pairs(views.jobs(spark, sf_dir), catalog, match_variants=True)
+    return match_pairs(views.job_texts(spark, sf_dir), catalog, match_variants=True)
 
 
 @query
 def seed_skill_counts(spark, sf_dir):
-    pairs = match_pairs(views.jobs(spark, sf_dir), seed_catalog(spark))
-    return analytics.skill_counts(pairs)
+    pairs = match_pairs(views.job_texts(spark, sf_dir), seed_catalog(spark))
+    return analytics.jobs_per_skill(pairs)
 
 
 def _word_catalog(spark, sf_dir):
@@ -80,26 +80,26 @@ def _word_catalog(spark, sf_dir):
 
 @query
 def word_counts(spark, sf_dir):
-    jobs, catalog = views.jobs(spark, sf_dir), _word_catalog(spark, sf_dir)
-    return analytics.skill_counts(match_pairs(jobs, catalog))
+    jobs, catalog = views.job_texts(spark, sf_dir), _word_catalog(spark, sf_dir)
+    return analytics.jobs_per_skill(match_pairs(jobs, catalog))
 
 
 @query
 def word_counts_by_grams(spark, sf_dir):
     """As ``word_counts``, by the method for catalogs too large for a pattern."""
-    jobs, catalog = views.jobs(spark, sf_dir), _word_catalog(spark, sf_dir)
-    return analytics.skill_counts(match_by_grams(jobs, catalog))
+    jobs, catalog = views.job_texts(spark, sf_dir), _word_catalog(spark, sf_dir)
+    return analytics.jobs_per_skill(match_by_grams(jobs, catalog))
 
 
 @query
 def page_skill_counts(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
-    texts = pages.select(
+    pages = texts(spark, sf_dir, "pages")
+    described = pages.select(
         F.col("page_id").cast("string").alias("job_id"),
         F.lit(None).cast("string").alias("job_title"),
         html_to_text(F.col("html")).alias("job_description"),
     )
-    return analytics.skill_counts(match_pairs(texts, views.term_catalog(spark)))
+    return analytics.jobs_per_skill(match_pairs(described, views.term_catalog(spark)))
 
 
 # --- analytics over the stored pair table -----------------------------------
@@ -110,7 +110,7 @@ def _job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build():
         catalog = views.term_catalog(spark).select("skill_name", "skill_id")
-        pairs = match_pairs(views.jobs(spark, sf_dir), views.term_catalog(spark))
+        pairs = match_pairs(views.job_texts(spark, sf_dir), views.term_catalog(spark))
         return pairs.join(F.broadcast(catalog), "skill_name").select(
             stable_id(F.col("job_id"), F.col("skill_id")).alias("job_skill_id"),
             "job_id",
@@ -185,7 +185,8 @@ def skill_hierarchy(spark, sf_dir):
 
 @query
 def median_count(spark, sf_dir):
-    return analytics.median_count(skill_counts(spark, sf_dir))
+    counts = analytics.jobs_per_skill(_job_skills(spark, sf_dir))
+    return analytics.median_count(counts)
 
 
 @query
@@ -370,7 +371,7 @@ def page_source_id(spark, sf_dir):
 
 @query
 def page_text(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = texts(spark, sf_dir, "pages")
     return pages.select("page_id", html_to_text(F.col("html")).alias("job_description"))
 
 
@@ -387,7 +388,7 @@ def page_selectors(spark, sf_dir):
         F.lit('<div data-testid="inlineHeader-companyLocation">'),
     )
     html = F.replace(html, F.lit("</footer>"), F.lit("</div>"))
-    pages = table(spark, sf_dir, "pages").select(
+    pages = texts(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("file_name"), html.alias("html")
     )
     return dom.parse_selectors(pages).drop("error_reason")
@@ -402,7 +403,7 @@ def listing_cards(spark, sf_dir):
         r'<a href="/([^"]*)">([^<]*)</a>',
         '<a data-jk="$1" href="/v/$1"><b><span id="x-jobTitle-1">$2</span></b></a>',
     )
-    pages = table(spark, sf_dir, "pages").select(
+    pages = texts(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("file_name"), html.alias("html")
     )
     return dom.parse_listing(pages, F.lit("2024-01-31"))
@@ -458,7 +459,13 @@ def stream_jobs(spark, sf_dir):
         docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "orders")
     )
     root = fresh_path(spark, "stream")
-    ingest_stream(pages, root, f"{root}/checkpoint", now=now()).awaitTermination()
+    ingest_stream(
+        pages,
+        root,
+        f"{root}/checkpoint",
+        now=now(),
+        partitions=spark.sparkContext.defaultParallelism,
+    ).awaitTermination()
     jobs = read_table(spark, root, "jobs", schemas.JOBS)
     return jobs.drop("job_id", "load_id")
 
@@ -541,4 +548,4 @@ def filtered_jobs(spark, sf_dir):
 
 @query
 def searched_jobs(spark, sf_dir):
-    return trends.search_jobs(views.jobs(spark, sf_dir), ["the", "Rest"])
+    return trends.search_jobs(views.job_texts(spark, sf_dir), ["the", "Rest"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgauge.functions.ids import stable_id
-from skillgauge.session import fresh_path
+from skillgauge.session import fresh_path, spread
 from skillgauge.sources.seed import catalog_frame
 
 # A small catalog whose names occur in the given texts.
@@ -42,6 +42,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows need costly work: small files are spread over all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
@@ -88,9 +93,9 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def jobs(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     """Documents as jobs that are all still unprocessed."""
-    return table(spark, sf_dir, "documents").select(
+    return read(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("job_id"),
         "source",
         F.col("doc_id").cast("string").alias("job_source_id"),
@@ -108,7 +113,13 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def jobs_partly_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def job_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs(spark, sf_dir, read=texts)
+
+
+def jobs_partly_processed(
+    spark: SparkSession, sf_dir: str, read=table
+) -> DataFrame:
     """Jobs of which the labelled ones were processed."""
     done = labels(spark, sf_dir).select(
         "job_id",
@@ -118,7 +129,7 @@ def jobs_partly_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("skill_extraction_date"),
     )
     return (
-        jobs(spark, sf_dir)
+        jobs(spark, sf_dir, read)
         .drop("skill_extraction_date")
         .join(done, "job_id", "left")
     )
@@ -214,10 +225,11 @@ def posting_pages(docs: DataFrame, labels: DataFrame, orders: DataFrame) -> Data
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labelled, orders = (
-        table(spark, sf_dir, name) for name in ("documents", "labels", "orders")
+    return posting_pages(
+        texts(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        table(spark, sf_dir, "orders"),
     )
-    return posting_pages(docs, labelled, orders)
 
 
 def downloads_log(spark: SparkSession, sf_dir: str) -> DataFrame:

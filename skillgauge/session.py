@@ -47,10 +47,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/skillgauge/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give costly per-row work enough tasks when the input has few splits.
+def spread(scan: DataFrame) -> DataFrame:
+    """Give costly per-row work enough tasks when a table has few splits.
 
-    A table of many files comes back unchanged, so its rows never move.
+    Only for plain scans: counting the splits of anything with a shuffle would
+    run it. A table of many files comes back unchanged, so its rows never move.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -20,17 +20,20 @@ def ingest_stream(
     source: str = SOURCE,
     now: Column | None = None,
     name: str = "stream",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start reading all pages that are there now; the query ends by itself.
 
     ``pages`` is a streaming frame with ``file_name`` and ``html``. Start it again
-    with the same checkpoint to take in what has come since.
+    with the same checkpoint to take in what has come since. ``partitions`` spreads
+    each micro-batch before it is parsed, for sources of few large files.
     """
     loaded_at = F.current_timestamp() if now is None else now
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         stamp = f"{name}-{batch_id:09d}"
-        parse_pages(batch, root, stamp, source)
+        pages = batch if partitions is None else batch.repartition(partitions)
+        parse_pages(pages, root, stamp, source)
         export = batch.sparkSession.read.schema(schemas.JOBS_EXPORT).json(
             f"{root}/exports/jobs/export_ts={stamp}"
         )
