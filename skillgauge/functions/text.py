@@ -3,7 +3,7 @@
 import html as html_lib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -54,30 +54,38 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def decode_entities(text: Column) -> Column:
-    """Replace character references.
-
-    The usual few are replaced inside the JVM. Only values that hold another
-    one travel to Python; all other rows send a null.
-    """
-    plain = text
+def _decode_plain(text: Column) -> Column:
     for reference, character in _PLAIN_ENTITIES:
-        plain = F.replace(plain, F.lit(reference), F.lit(character))
-    rare = text.rlike(_RARE_ENTITY)
-    return F.coalesce(_unescape(F.when(rare, text)), plain)
+        text = F.replace(text, F.lit(reference), F.lit(character))
+    return text
 
 
-def text_nodes(markup: Column) -> Column:
-    """Trimmed, non-empty text nodes of an HTML fragment, in order."""
+def _without_markup(markup: Column) -> Column:
     flat = F.regexp_replace(F.replace(markup, F.lit(_CUT), F.lit("")), _HIDDEN, _CUT)
-    flat = F.regexp_replace(flat, _TAG, _CUT)
-    nodes = F.transform(F.split(decode_entities(flat), _CUT), strip)
-    return F.filter(nodes, lambda node: node != "")
+    return F.regexp_replace(flat, _TAG, _CUT)
+
 
+def with_html_text(
+    df: DataFrame, markup: str, name: str, separator: str = " "
+) -> DataFrame:
+    """Add the visible text of the HTML fragments in ``markup``.
 
-def html_to_text(markup: Column, separator: str = " ") -> Column:
-    """Visible text of an HTML fragment; null for null or empty markup."""
-    return F.when(markup != "", F.array_join(text_nodes(markup), separator))
+    Text nodes are decoded and trimmed, empty ones are dropped, and the rest is
+    joined. Null and empty markup give null.
+
+    The usual character references are replaced inside the JVM. Only texts that
+    hold another one travel to Python; all other rows send a null. Each step is a
+    column of its own, so that none is computed twice.
+    """
+    flat, rare = F.col("_flat"), F.col("_rare")
+    nodes = F.split(F.coalesce(rare, _decode_plain(flat)), _CUT)
+    kept = F.filter(F.transform(nodes, strip), lambda node: node != "")
+    return (
+        df.withColumn("_flat", F.when(F.col(markup) != "", _without_markup(F.col(markup))))
+        .withColumn("_rare", _unescape(F.when(flat.rlike(_RARE_ENTITY), flat)))
+        .withColumn(name, F.array_join(kept, separator))
+        .drop("_flat", "_rare")
+    )
 
 
 def newline_normalised(text: Column) -> Column:

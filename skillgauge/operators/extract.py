@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skillgauge.functions.dates import posted_date
-from skillgauge.functions.text import html_to_text
+from skillgauge.functions.text import with_html_text
 
 # They decide which block, id and address a page yields.
 SOURCE = "indeed"
@@ -95,6 +95,7 @@ def parse_postings(pages: DataFrame, source: str = SOURCE) -> DataFrame:
         _text("$.description").alias("_description"),
         F.nullif(_text("$.datePosted"), F.lit("")).alias("_posted"),
     )
+    fields = with_html_text(fields, "_description", "job_description")
     record = fields.select(
         "file_name",
         "error_reason",
@@ -104,7 +105,7 @@ def parse_postings(pages: DataFrame, source: str = SOURCE) -> DataFrame:
         "job_title",
         "company_name",
         job_url(F.col("country"), F.col("job_source_id")).alias("job_url"),
-        html_to_text(F.col("_description")).alias("job_description"),
+        "job_description",
         # Text that is no date goes on as it is and fails when it is loaded.
         F.coalesce(
             posted_date(F.col("_posted")).cast("string"), F.col("_posted")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skillgauge import schemas
 from skillgauge.functions.ids import stable_id
-from skillgauge.functions.text import html_to_text
+from skillgauge.functions.text import with_html_text
 from skillgauge.operators import analytics, dom, extract, merge, quality, trends
 from skillgauge.operators.catalog import upsert_catalog
 from skillgauge.operators.match import match_pairs, unprocessed
@@ -93,13 +93,12 @@ def word_counts_by_grams(spark, sf_dir):
 
 @query
 def page_skill_counts(spark, sf_dir):
-    pages = texts(spark, sf_dir, "pages")
-    described = pages.select(
+    pages = page_text(spark, sf_dir).select(
         F.col("page_id").cast("string").alias("job_id"),
         F.lit(None).cast("string").alias("job_title"),
-        html_to_text(F.col("html")).alias("job_description"),
+        "job_description",
     )
-    return analytics.jobs_per_skill(match_pairs(described, views.term_catalog(spark)))
+    return analytics.jobs_per_skill(match_pairs(pages, views.term_catalog(spark)))
 
 
 # --- analytics over the stored pair table -----------------------------------
@@ -371,8 +370,8 @@ def page_source_id(spark, sf_dir):
 
 @query
 def page_text(spark, sf_dir):
-    pages = texts(spark, sf_dir, "pages")
-    return pages.select("page_id", html_to_text(F.col("html")).alias("job_description"))
+    pages = texts(spark, sf_dir, "pages").select("page_id", "html")
+    return with_html_text(pages, "html", "job_description").drop("html")
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skillgauge.functions.dates import posted_date
 from skillgauge.functions.ids import stable_id
-from skillgauge.functions.text import html_to_text, newline_normalised, strip
+from skillgauge.functions.text import newline_normalised, strip, with_html_text
 
 PAGES = "/root/testdata/sf0.001/pages.parquet"
 
@@ -60,6 +60,13 @@ def texts(frame, values, column):
     return [r[0] for r in df.orderBy("i").select(column(F.col("v"))).collect()]
 
 
+def html_texts(frame, values, separator=" "):
+    df = frame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    df = with_html_text(df, "v", "t", separator)
+    assert df.columns == ["i", "v", "t"]
+    return [r.t for r in df.orderBy("i").collect()]
+
+
 @pytest.mark.parametrize(
     "markup, text",
     [
@@ -84,15 +91,16 @@ def texts(frame, values, column):
     ],
 )
 def test_html_to_text(frame, markup, text):
-    assert texts(frame, [markup], html_to_text) == [text]
+    assert html_texts(frame, [markup]) == [text]
 
 
 def test_html_to_text_without_separator(frame):
-    assert texts(frame, ["<b> a </b> b"], lambda c: html_to_text(c, "")) == ["ab"]
+    assert html_texts(frame, ["<b> a </b> b"], "") == ["ab"]
 
 
 def test_html_to_text_equals_a_parser_on_whole_pages(spark):
-    rows = spark.read.parquet(PAGES).select("html", html_to_text(F.col("html"))).collect()
+    pages = spark.read.parquet(PAGES).select("html")
+    rows = with_html_text(pages, "html", "text").collect()
     assert len(rows) == 50
     for markup, text in rows:
         assert text == model_text(markup)
@@ -104,12 +112,12 @@ def test_html_to_text_equals_a_parser_on_random_markup(frame):
              "x", "ü", " ", "\n", "<!-- c -->", "<script>s<b></script>", "&#8364;",
              '<a href="?a=1&b=2">', "</a>", "5 < 6", "&lt;i&gt;"]
     markups = ["".join(rng.choices(atoms, k=rng.randint(1, 12))) for _ in range(400)]
-    assert texts(frame, markups, html_to_text) == [model_text(m) for m in markups]
+    assert html_texts(frame, markups) == [model_text(m) for m in markups]
 
 
 def test_long_attributes_do_not_overflow(frame):
     markup = f"<a title=\"{'x' * 200_000}\" {'y' * 200_000}>t</a><!--{'z' * 200_000}-->"
-    assert texts(frame, [markup], html_to_text) == ["t"]
+    assert html_texts(frame, [markup]) == ["t"]
 
 
 def test_strip_is_pythons(frame):
