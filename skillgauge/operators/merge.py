@@ -18,19 +18,20 @@ _OPEN = "_open_key"
 
 def _open_key(keys: list[str], order: list[str]) -> Column:
     """Empty for a complete key. A key with a null equals no other key, so such a
-    row gets a value of its own, which also keeps these rows apart in shuffles."""
+    row gets a value of its own content and of its partition, which also keeps
+    these rows apart in shuffles."""
     partial = F.lit(False)
     for key in keys:
         partial = partial | F.col(key).isNull()
-    return F.when(partial, stable_id(*[F.col(c) for c in order])).otherwise("")
+    own = F.concat_ws(
+        "-", stable_id(*[F.col(c) for c in order]), F.spark_partition_id()
+    )
+    return F.when(partial, own).otherwise("")
 
 
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by ``order``, with ``copies``, the number of rows
-    that had the key. Rows whose key holds a null all stay.
-
-    ``order`` must tell rows of one key apart.
-    """
+    that had the key. ``order`` must tell rows of one key apart."""
     rest = [c for c in batch.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in [*order, *[r for r in rest if r not in order]]])
     folded = (
@@ -48,34 +49,51 @@ def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFr
     )
 
 
+def _all_open_rows(first: DataFrame) -> DataFrame:
+    """Equal rows without a complete key were folded as well: repeat them, each
+    with a number in its open key."""
+    last = F.when(F.col(_OPEN) == "", 1).otherwise(F.col("copies").cast("int"))
+    numbered = first.withColumn("_no", F.explode(F.sequence(F.lit(1), last)))
+    key = F.when(F.col(_OPEN) == "", "").otherwise(F.concat_ws("-", _OPEN, "_no"))
+    return numbered.withColumn(_OPEN, key).drop("_no", "copies")
+
+
 def dedup(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by ``order``."""
-    return first_per_key(batch, keys, order).drop("copies", _OPEN)
+    """The first row of each key by ``order``, and every row whose key holds a
+    null."""
+    return _all_open_rows(first_per_key(batch, keys, order)).drop(_OPEN)
 
 
 def absent_rows(
-    batch: DataFrame, target: DataFrame, keys: list[str], order: list[str]
+    batch: DataFrame,
+    target: DataFrame,
+    keys: list[str],
+    order: list[str],
+    id_name: str | None = None,
 ) -> DataFrame:
     """Rows of the batch that insert-if-absent would add to the target.
 
     The fold and the anti join share one shuffle of the batch. Of the target
-    only the key columns are read.
+    only the key columns are read. ``id_name`` adds an id made from the key.
     """
     # Always empty, but not a constant: the optimizer would take a constant out of
     # the join key, and rows with a null in their key would all meet in one task.
     complete = F.substring(F.col(keys[0]).cast("string"), 1, 0)
     known = target.select(*keys).dropna(how="any").withColumn(_OPEN, complete)
     first = first_per_key(batch, keys, order)
-    return first.join(known, [*keys, _OPEN], "left_anti").select(*batch.columns)
-
-
-def with_job_ids(batch: DataFrame, keys: list[str], now: Column, order: list[str]):
-    """Rows of the batch as table rows: generated id, creation time, no mark."""
-    return batch.select(
-        stable_id(*[F.col(k) for k in keys], _open_key(keys, order)).alias("job_id"),
-        "*",
-        now.cast("timestamp_ntz").alias("created_at"),
-        F.lit(None).cast("timestamp_ntz").alias("skill_extraction_date"),
+    new = _all_open_rows(first.join(known, [*keys, _OPEN], "left_anti"))
+    made = stable_id(*[F.col(k) for k in [*keys, _OPEN]])
+    ids = [] if id_name is None else [made.alias(id_name)]
+    return new.select(*ids, *batch.columns)
+
+
+def as_unprocessed(rows: DataFrame, now: Column) -> DataFrame:
+    """New job rows with their creation time and no mark."""
+    return rows.withColumns(
+        {
+            "created_at": now.cast("timestamp_ntz"),
+            "skill_extraction_date": F.lit(None).cast("timestamp_ntz"),
+        }
     )
 
 

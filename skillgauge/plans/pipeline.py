@@ -15,10 +15,10 @@ from skillgauge.operators.match import match_pairs, unprocessed
 from skillgauge.operators.merge import (
     INSERTED,
     absent_rows,
+    as_unprocessed,
     dedup,
     pair_status,
     pairs_to_insert,
-    with_job_ids,
 )
 from skillgauge.operators.quality import (
     jobs_load_summary,
@@ -71,13 +71,41 @@ def merge_jobs(export: DataFrame, root: str, stamp: str, now: Column) -> DataFra
     rows = stored_values(good, schemas.JOBS_WIDTHS, dates=["posted_date"])
     order = rows.columns
     target = read_table(spark, root, "jobs", schemas.JOBS, but=stamp)
-    new = absent_rows(rows, target, schemas.JOBS_KEY, order)
-    append_load(with_job_ids(new, schemas.JOBS_KEY, now, order), root, "jobs", stamp)
+    new = absent_rows(rows, target, schemas.JOBS_KEY, order, id_name="job_id")
+    append_load(as_unprocessed(new, now), root, "jobs", stamp)
     append_load(bad, root, "rejected_jobs", stamp)
     inserted = read_loads(spark, root, "jobs", schemas.JOBS, [stamp])
     return jobs_load_summary(checked, inserted)
 
 
+def merge_legacy_jobs(
+    records: DataFrame, root: str, stamp: str, now: Column
+) -> DataFrame:
+    """Records of the selector and listing readers -> ``legacy_jobs``, one per
+    address. Returns inserted, failed, total."""
+    spark = records.sparkSession
+    if "scraped_date" not in records.columns:
+        records = records.withColumn("scraped_date", now.cast("date"))
+    made = {"job_id", "created_at", "updated_at"}
+    table = spark.createDataFrame([], schemas.LEGACY_JOBS)
+    rows = records.select(*[c for c in table.columns if c not in made])
+    checked = row_errors(
+        rows, schemas.LEGACY_JOBS_WIDTHS, required=schemas.LEGACY_JOBS_REQUIRED
+    )
+    good, bad = split_errors(checked)
+    good = stored_values(good, schemas.LEGACY_JOBS_WIDTHS)
+    target = read_table(spark, root, "legacy_jobs", schemas.LEGACY_JOBS, but=stamp)
+    new = absent_rows(
+        good, target, schemas.LEGACY_JOBS_KEY, good.columns, id_name="job_id"
+    )
+    at = now.cast("timestamp_ntz")
+    stored = new.withColumns({"created_at": at, "updated_at": at})
+    append_load(stored.select(*table.columns), root, "legacy_jobs", stamp)
+    append_load(bad, root, "rejected_legacy_jobs", stamp)
+    inserted = read_loads(spark, root, "legacy_jobs", schemas.LEGACY_JOBS, [stamp])
+    return jobs_load_summary(checked, inserted)
+
+
 def load_catalog(batch: DataFrame, root: str, stamp: str, now: Column) -> None:
     """Upsert into ``skills``: each load is a whole new version."""
     spark = batch.sparkSession
@@ -107,21 +135,38 @@ def current_jobs(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _unmarked(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """Ids (with load) of jobs without a mark, and the marked ids."""
-    jobs = read_table(spark, root, "jobs", schemas.JOBS).select("job_id", "load_id")
-    marks = read_table(spark, root, "job_marks", schemas.JOB_MARKS).select("job_id")
-    return jobs.join(marks, "job_id", "left_anti"), marks
+def _marked_ids(spark: SparkSession, root: str) -> DataFrame:
+    return read_table(spark, root, "job_marks", schemas.JOB_MARKS).select("job_id")
 
 
 def open_jobs(spark: SparkSession, root: str) -> DataFrame:
-    """Jobs to scan for skills. Loads in which every job is marked are found from
-    ids alone, and their texts are not read."""
-    waiting, marks = _unmarked(spark, root)
-    # One value per load that was ever made.
-    loads = [row.load_id for row in waiting.select("load_id").distinct().collect()]
-    rows = spread(read_loads(spark, root, "jobs", schemas.JOBS, loads))
-    return unprocessed(rows).join(marks, "job_id", "left_anti")
+    """Jobs to scan for skills.
+
+    Ids alone tell how far each load is done. A finished load is not read, a new
+    one is read as it is, and only the texts of a partly done load meet the marks
+    in a join.
+    """
+    marks = _marked_ids(spark, root)
+    ids = read_table(spark, root, "jobs", schemas.JOBS).select("job_id", "load_id")
+    progress = (
+        ids.join(marks.distinct().withColumn("done", F.lit(True)), "job_id", "left")
+        .groupBy("load_id")
+        .agg(
+            F.count_if(F.col("done").isNull()).alias("waiting"),
+            F.count_if("done").alias("done"),
+        )
+        .filter("waiting > 0")
+        .collect()  # one row per load that was ever made
+    )
+
+    def texts(loads):
+        return unprocessed(spread(read_loads(spark, root, "jobs", schemas.JOBS, loads)))
+
+    new = texts([load.load_id for load in progress if load.done == 0])
+    partly = [load.load_id for load in progress if load.done > 0]
+    if not partly:
+        return new
+    return new.unionByName(texts(partly).join(marks, "job_id", "left_anti"))
 
 
 def extract_pairs(
@@ -129,8 +174,9 @@ def extract_pairs(
 ) -> str:
     """Open jobs x catalog -> pairs export. Returns its path. The ids of the jobs
     that are scanned are kept beside it."""
-    waiting, _ = _unmarked(spark, root)
-    write_export(waiting.select("job_id"), f"{root}/exports/scanned", stamp)
+    ids = read_table(spark, root, "jobs", schemas.JOBS).select("job_id")
+    waiting = ids.join(_marked_ids(spark, root), "job_id", "left_anti")
+    write_export(waiting, f"{root}/exports/scanned", stamp)
     pairs = match_pairs(
         open_jobs(spark, root), current_catalog(spark, root), match_variants
     )

@@ -223,14 +223,14 @@ def batch_dedup(spark, sf_dir):
 
 @query
 def new_jobs(spark, sf_dir):
-    order = ["page_id"]
     rows = merge.absent_rows(
         _page_jobs(spark, sf_dir),
         _known_jobs(spark, sf_dir),
         schemas.JOBS_KEY,
-        order,
+        ["page_id"],
+        id_name="job_id",
     )
-    return merge.with_job_ids(rows, schemas.JOBS_KEY, now(), order)
+    return merge.as_unprocessed(rows, now())
 
 
 @query

@@ -35,10 +35,21 @@ def test_rows_with_a_null_key_all_stay(frame):
     target = frame([("s", None), (None, None), ("s", "1")], "source string, job_source_id string")
     new = merge.absent_rows(batch, target, KEYS, ["file"])
     assert rows(new, "file") == [("a",), ("b",), ("c",)]
-    ids = merge.with_job_ids(new, KEYS, F.lit("2024-01-01 00:00:00"), ["file"])
+    ids = merge.absent_rows(batch, target, KEYS, ["file"], id_name="job_id")
+    assert ids.columns == ["job_id", *batch.columns]
     assert ids.select("job_id").distinct().count() == 3
 
 
+def test_equal_rows_with_a_null_key_all_stay(frame):
+    batch = frame([("s", None, "a", "x")] * 7 + [("s", "1", "a", "x")] * 7, BATCH)
+    assert rows(merge.dedup(batch, KEYS, ["file"]), *KEYS) == sorted(
+        [("s", None)] * 7 + [("s", "1")], key=repr
+    )
+    target = frame([("s", "2")], "source string, job_source_id string")
+    new = merge.absent_rows(batch, target, KEYS, ["file"], id_name="job_id")
+    assert new.count() == 8 == new.select("job_id").distinct().count()
+
+
 def test_absent_rows_and_repeat(frame):
     batch = frame([("s", str(i % 50), f"{i:03d}", "t") for i in range(200)], BATCH)
     target = frame([("s", str(i)) for i in range(20)], "source string, job_source_id string")

@@ -162,3 +162,63 @@ def test_a_batch_that_is_run_again_leaves_the_same_tables(spark, folder, tmp_pat
         )
         pipeline.merge_jobs(export, root, "s-0", now(1))
     assert len(jobs_of(spark, root)) == 3
+
+
+def test_legacy_records_are_kept_once_per_address(spark, frame, tmp_path):
+    from skillgauge.operators.dom import parse_listing, parse_selectors
+
+    root = str(tmp_path / "root")
+    page = '<h1>T</h1><div id="jobDescriptionText">SQL</div>'
+    pages = frame(
+        [("job_1.html", page), ("job_2.html", "<h1>no text</h1>"), ("job_3.html", page)],
+        "file_name string, html string",
+    )
+    assert row(pipeline.merge_legacy_jobs(parse_selectors(pages), root, "1", now(1))) == (2, 1, 3)
+    assert row(pipeline.merge_legacy_jobs(parse_selectors(pages), root, "2", now(2))) == (0, 1, 3)
+    cards = """<a data-jk="1" href="https://indeed.com/viewjob?jk=1">x</a>
+    <a data-jk="9" href="/nine"><span id="jobTitle-9">Nine</span></a>
+    <a data-jk="8">no address</a><a data-jk="7">no address</a>"""
+    listing = frame([("l.html", cards)], "file_name string, html string")
+    records = parse_listing(listing, F.lit("2024-02-03"))
+    assert row(pipeline.merge_legacy_jobs(records, root, "3", now(3))) == (3, 0, 4)
+    stored = read_table(spark, root, "legacy_jobs", schemas.LEGACY_JOBS).collect()
+    assert sorted((r.job_title, str(r.scraped_date)) for r in stored) == [
+        ("Nine", "2024-02-03"), ("T", "2024-02-01"), ("T", "2024-02-01"),
+        ("Unknown", "2024-02-03"), ("Unknown", "2024-02-03"),
+    ]
+    assert len({r.job_id for r in stored}) == 5
+
+
+def test_texts_of_finished_and_new_loads_meet_no_join(spark, folder, tmp_path):
+    root = str(tmp_path / "root")
+    load_all(spark, folder, root, "1", 1)
+    pipeline.load_catalog(seed_catalog(spark), root, "1", now(1))
+    pipeline.extract_pairs(spark, root, "1")
+    pipeline.load_pairs(spark, root, "1", now(2), mark="scanned")
+    save(folder, "job_9", title="New", description="Scala")
+    load_all(spark, folder, root, "2", 3)
+    waiting = pipeline.open_jobs(spark, root)
+    assert [r.job_title for r in waiting.collect()] == ["New"]
+    assert "Join" not in waiting._jdf.queryExecution().executedPlan().toString()
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from skillgauge.session import local_session\n"
+        "from skillgauge.functions.text import with_html_text\n"
+        "from skillgauge.operators.dom import parse_selectors\n"
+        "spark = local_session('1')\n"
+        "df = spark.createDataFrame([('a', '<h1>&eacute;</h1>')], 'file_name string, html string')\n"
+        "print(with_html_text(df, 'html', 't').first().t, parse_selectors(df).first().job_title)\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, timeout=300,
+    )
+    assert done.stdout.split() == ["é", "é"], done.stderr[-2000:]
