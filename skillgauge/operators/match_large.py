@@ -1,8 +1,11 @@
 """Matching for catalogs with too many names for one pattern.
 
 Texts are cut into words and single other characters. Every run of such pieces
-that is shaped like some catalog name is looked up in the catalog, and the hits
-of one text are then resolved from left to right, longest first.
+that is shaped like some catalog name is looked up in the catalog. Hits of several
+pieces are resolved per text, from left to right and longest first; a hit of one
+piece then counts unless an accepted longer one covers it. (A hit of one piece
+cannot rule out a longer one: one that starts there is preferred, and one that
+starts before is decided before.)
 """
 
 from pyspark.sql import Column, DataFrame, Row
@@ -67,21 +70,38 @@ def _runs(shape: Row) -> Column:
 
 
 def _leftmost_longest(hits: Column) -> Column:
-    """Distinct skills of the non-overlapping hits of one text."""
-    nothing = F.struct(
-        F.lit(0).alias("end"), F.array().cast("array<string>").alias("skills")
-    )
+    """The hits of one text that do not overlap an earlier one."""
+    ordered = F.array_sort(hits)
+    nothing = F.struct(F.lit(0).alias("end"), F.filter(ordered, lambda h: F.lit(False)).alias("kept"))
 
     def take(state, hit):
         return F.when(
             hit["start"] >= state["end"],
             F.struct(
-                hit["end"].alias("end"),
-                F.array_union(state["skills"], F.array(hit["skill"])).alias("skills"),
+                hit["end"].alias("end"), F.array_append(state["kept"], hit).alias("kept")
             ),
         ).otherwise(state)
 
-    return F.aggregate(F.array_sort(hits), nothing, take, lambda s: s["skills"])
+    return F.aggregate(ordered, nothing, take, lambda state: state["kept"])
+
+
+# Two hashes tell rows apart, also such as share an id.
+_ROW = ["row_a", "row_b"]
+_JOB = [*_ROW, "job_id", "job_title"]
+
+
+def _hits(cut: DataFrame, shapes: list[Row], keys: DataFrame) -> DataFrame:
+    """Runs that are catalog names, with the name each stands for."""
+    runs = (
+        cut.select(*_JOB, F.explode(F.concat(*[_runs(s) for s in shapes])).alias("run"))
+        .select(*_JOB, "run.*")
+        .withColumn("fold", _fold(F.col("text")))
+        .withColumn("chars", F.length("text"))
+    )
+    found = lookup_join(runs, keys, ["fold", "chars"], "inner", [*_ROW, "start"])
+    spelled = F.filter("spellings", lambda s: s["lower"] == F.lower("text"))
+    skill = F.coalesce(F.try_element_at(spelled, F.lit(1))["skill_name"], "text")
+    return found.select(*_JOB, "start", "end", skill.alias("skill_name"))
 
 
 def match_by_grams(
@@ -89,9 +109,10 @@ def match_by_grams(
 ) -> DataFrame:
     """Same result as the pattern method of ``match_pairs``.
 
-    Texts never move: only hits are grouped by row, and a text has no more hits
-    than pieces per shape. The catalog is broadcast when it is small enough and
-    is otherwise joined with salts, as common words are hot keys.
+    Texts never move. Only hits of several pieces are collected per text, and a
+    text has no more of them than pieces per shape. The catalog is broadcast when
+    it is small enough and is otherwise joined with salts, as common words are hot
+    keys.
     """
     names = surfaces(catalog, match_variants).select(
         _fold(F.col("surface")).alias("fold"),
@@ -124,36 +145,39 @@ def match_by_grams(
         .filter("searched")
         .drop("searched")
     )
+    text = ["job_id", "job_title", "job_description"]
     cut = jobs.select(
+        F.xxhash64(*text).alias("row_a"),
+        F.xxhash64(*reversed(text)).alias("row_b"),
         "job_id",
         "job_title",
-        F.xxhash64("job_id", "job_title", "job_description").alias("row_id"),
         _pieces(F.col("job_description")).alias("pieces"),
     ).withColumn("is_word", F.transform("pieces", _is_word))
-    runs = (
-        cut.select(
-            "job_id",
-            "job_title",
-            "row_id",
-            F.explode(F.concat(*[_runs(shape) for shape in shapes])).alias("run"),
+
+    found = []
+    single = [shape for shape in shapes if shape.n_pieces == 1]
+    longer = [shape for shape in shapes if shape.n_pieces > 1]
+    if longer:
+        hit = F.struct("start", (-F.col("end")).alias("minus_end"), "end", "skill_name")
+        accepted = (
+            _hits(cut, longer, keys)
+            .groupBy(*_JOB)
+            .agg(_leftmost_longest(F.collect_list(hit)).alias("accepted"))
         )
-        .select("job_id", "job_title", "row_id", "run.*")
-        .withColumn("fold", _fold(F.col("text")))
-        .withColumn("chars", F.length("text"))
-    )
-    hits = lookup_join(runs, keys, ["fold", "chars"], "inner", ["job_id", "start"])
-    spelled = F.filter("spellings", lambda s: s["lower"] == F.lower("text"))
-    skill = F.coalesce(F.try_element_at(spelled, F.lit(1))["skill_name"], "text")
-    by_row = hits.groupBy("row_id", "job_id", "job_title").agg(
-        _leftmost_longest(
-            F.collect_list(
-                F.struct(
-                    "start",
-                    (-F.col("end")).alias("minus_end"),
-                    "end",
-                    skill.alias("skill"),
-                )
+        found.append(
+            accepted.select(*_JOB, F.explode("accepted.skill_name").alias("skill_name"))
+        )
+    if single:
+        hits = _hits(cut, single, keys)
+        if longer:
+            covers = accepted.select(*_ROW, "accepted")
+            covered = F.exists(
+                "accepted",
+                lambda h: (h["start"] <= F.col("start")) & (F.col("start") < h["end"]),
             )
-        ).alias("skills")
-    )
-    return by_row.select("job_id", "job_title", F.explode("skills").alias("skill_name"))
+            hits = hits.join(covers, _ROW, "left").filter(
+                ~F.coalesce(covered, F.lit(False))
+            )
+        found.append(hits.select(*_JOB, "skill_name"))
+    pairs = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return pairs.distinct().drop(*_ROW)
