@@ -327,6 +327,14 @@ SELECT source, job_source_id, country, job_title, company_name, job_url,
   NULL::TIMESTAMP AS skill_extraction_date
 FROM parsed WHERE error_reason IS NULL AND lang <> 'de'"""
 
+    sql["loaded_job_skills"] = f"""WITH {_POSTINGS}, {_CATALOG}, norm AS (
+  SELECT sha256('6:indeed' || length(job_source_id) || ':' || job_source_id || '0:')
+    AS job_id, job_title, {_padded('job_description')} AS t
+  FROM parsed WHERE error_reason IS NULL AND lang <> 'de')
+SELECT sha256('64:' || job_id || '64:' || skill_id) AS job_skill_id, job_id, job_title,
+  skill_id, skill_name, 'regex' AS extraction_method, {_NOW} AS created_at
+FROM norm, cat WHERE {_HAS}"""
+
     # Trends.
     daily = _DAILY.format(key="event_type", where="")
     sql["downloads_daily"] = f"""SELECT sha256(length(package_id) || ':' || package_id

@@ -12,7 +12,7 @@ from skillgauge.operators import analytics, dom, extract, merge, quality, trends
 from skillgauge.operators.catalog import upsert_catalog
 from skillgauge.operators.match import match_pairs, unprocessed
 from skillgauge.operators.match_large import match_by_grams
-from skillgauge.plans import views
+from skillgauge.plans import pipeline, views
 from skillgauge.plans.views import stored, table, texts
 from skillgauge.session import fresh_path
 from skillgauge.sources import files
@@ -469,6 +469,20 @@ def stream_jobs(spark, sf_dir):
     return jobs.drop("job_id", "load_id")
 
 
+@query
+def loaded_job_skills(spark, sf_dir):
+    """All steps over stored tables: the posting pages of ``jsonld_jobs`` are
+    parsed and loaded, matched with the term catalog, and their pairs loaded."""
+    root = fresh_path(spark, "root")
+    pipeline.parse_pages(views.postings(spark, sf_dir), root, "1")
+    pipeline.load_jobs(spark, root, "1", now())
+    catalog = views.term_catalog(spark).drop("skill_id")
+    pipeline.load_catalog(catalog, root, "1", now())
+    pipeline.extract_pairs(spark, root, "1")
+    pipeline.load_pairs(spark, root, "1", now())
+    return read_table(spark, root, "job_skills", schemas.JOB_SKILLS).drop("load_id")
+
+
 # --- trends -----------------------------------------------------------------
 
 

@@ -35,14 +35,22 @@ def read_pages(spark: SparkSession, folder: str, recursive: bool = False) -> Dat
     return _pages(files.select("path", "content"))
 
 
-def stream_pages(spark: SparkSession, folder: str, archive: str | None = None):
+def stream_pages(
+    spark: SparkSession,
+    folder: str,
+    archive: str | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
     """``read_pages`` for files as they arrive. With ``archive``, files of earlier
-    batches are moved there once a later batch commits."""
+    batches are moved there once a later batch commits. ``max_files`` bounds a
+    micro-batch, so that a large backlog is taken in steps."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.html")
     )
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option(
             "sourceArchiveDir", archive

@@ -222,3 +222,12 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, timeout=300,
     )
     assert done.stdout.split() == ["é", "é"], done.stderr[-2000:]
+
+
+def test_a_backlog_in_small_batches(spark, folder, tmp_path):
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "cp")
+    pages = stream_pages(spark, str(folder), max_files=2)
+    ingest_stream(pages, root, checkpoint, now=now(1)).awaitTermination()
+    jobs = read_table(spark, root, "jobs", schemas.JOBS)
+    assert jobs.select("load_id").distinct().count() > 1
+    assert sorted(r.job_source_id for r in jobs.collect()) == ["1", "2", "5"]
