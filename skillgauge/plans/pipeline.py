@@ -46,14 +46,18 @@ def parse_folder(
 
 
 def parse_pages(
-    pages: DataFrame, root: str, stamp: str, source: str = SOURCE
+    pages: DataFrame,
+    root: str,
+    stamp: str,
+    source: str = SOURCE,
+    exports: str = "exports/jobs",
 ) -> DataFrame:
     parsed_path = f"{root}/parsed/run={stamp}"
     parse_postings(pages, source).write.mode("overwrite").parquet(parsed_path)
     parsed = pages.sparkSession.read.parquet(parsed_path)
     good, _ = split_errors(parsed)
     first = dedup(good, ["job_source_id"], ["file_name"]).drop("file_name")
-    write_export(first, f"{root}/exports/jobs", stamp)
+    write_export(first, f"{root}/{exports}", stamp)
     return parse_metrics(parsed)
 
 

@@ -4,13 +4,34 @@ The checkpoint makes every file count once. A micro-batch that is run again
 replaces its own partition of each table, so the tables end up the same.
 """
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skillgauge import schemas
 from skillgauge.operators.extract import SOURCE
 from skillgauge.plans.pipeline import merge_jobs, parse_pages
+from skillgauge.sources.files import read_export
+
+# Apart from the exports of batch runs, of which the newest is loaded.
+_EXPORTS = "exports/stream"
+
+
+def _load_prefix(spark: SparkSession, checkpoint: str) -> str:
+    """Name of this stream's loads, kept with its checkpoint. A new checkpoint
+    counts batches from zero again and must not replace the loads of an old one."""
+    path = f"{checkpoint}/load_prefix"
+    try:
+        return spark.read.text(path).first().value
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    prefix = f"stream-{uuid.uuid4().hex}"
+    spark.range(1).select(F.lit(prefix).alias("value")).write.text(path)
+    return prefix
 
 
 def ingest_stream(
@@ -19,7 +40,6 @@ def ingest_stream(
     checkpoint: str,
     source: str = SOURCE,
     now: Column | None = None,
-    name: str = "stream",
     partitions: int | None = None,
 ) -> StreamingQuery:
     """Start reading all pages that are there now; the query ends by itself.
@@ -29,14 +49,14 @@ def ingest_stream(
     each micro-batch before it is parsed, for sources of few large files.
     """
     loaded_at = F.current_timestamp() if now is None else now
+    prefix = _load_prefix(pages.sparkSession, checkpoint)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        stamp = f"{name}-{batch_id:09d}"
-        pages = batch if partitions is None else batch.repartition(partitions)
-        parse_pages(pages, root, stamp, source)
-        export = batch.sparkSession.read.schema(schemas.JOBS_EXPORT).json(
-            f"{root}/exports/jobs/export_ts={stamp}"
-        )
+        stamp = f"{prefix}-{batch_id:09d}"
+        spark = batch.sparkSession
+        given = batch if partitions is None else batch.repartition(partitions)
+        parse_pages(given, root, stamp, source, exports=_EXPORTS)
+        export = read_export(spark, f"{root}/{_EXPORTS}", schemas.JOBS_EXPORT, stamp)
         merge_jobs(export, root, stamp, loaded_at)
 
     return (

@@ -231,3 +231,21 @@ def test_a_backlog_in_small_batches(spark, folder, tmp_path):
     jobs = read_table(spark, root, "jobs", schemas.JOBS)
     assert jobs.select("load_id").distinct().count() > 1
     assert sorted(r.job_source_id for r in jobs.collect()) == ["1", "2", "5"]
+
+
+def test_a_new_checkpoint_keeps_earlier_loads(spark, folder, tmp_path):
+    root = str(tmp_path / "root")
+    for checkpoint in ("cp1", "cp2"):
+        pages = stream_pages(spark, str(folder))
+        ingest_stream(pages, root, str(tmp_path / checkpoint), now=now(1)).awaitTermination()
+        for name in ("job_1", "job_2"):
+            (folder / f"{name}.html").unlink(missing_ok=True)
+    assert sorted(r.job_source_id for r in jobs_of(spark, root)) == ["1", "2", "5"]
+
+
+def test_a_stream_does_not_hide_the_newest_batch_export(spark, folder, tmp_path):
+    root = str(tmp_path / "root")
+    pages = stream_pages(spark, str(folder))
+    ingest_stream(pages, root, str(tmp_path / "cp"), now=now(1)).awaitTermination()
+    save(folder, "job_9", title="Nine", description="x")
+    assert load_all(spark, folder, root, "20240101", 2)[1] == (1, 2, 6)
