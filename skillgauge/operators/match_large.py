@@ -72,7 +72,8 @@ def _runs(shape: Row) -> Column:
 def _leftmost_longest(hits: Column) -> Column:
     """The hits of one text that do not overlap an earlier one."""
     ordered = F.array_sort(hits)
-    nothing = F.struct(F.lit(0).alias("end"), F.filter(ordered, lambda h: F.lit(False)).alias("kept"))
+    no_hits = F.filter(ordered, lambda hit: F.lit(False))
+    nothing = F.struct(F.lit(0).alias("end"), no_hits.alias("kept"))
 
     def take(state, hit):
         return F.when(

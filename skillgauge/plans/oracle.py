@@ -131,7 +131,8 @@ _NODES = (
     + r", ' ' || chr(9) || chr(10) || chr(13) || chr(160))), lambda x: x <> '')"
 )
 
-_PAGE_TEXT = f"page_texts AS (SELECT page_id, array_to_string({_NODES}, ' ') AS job_description FROM pages)"
+_PAGE_TEXT = f"""page_texts AS (
+  SELECT page_id, array_to_string({_NODES}, ' ') AS job_description FROM pages)"""
 
 _DAILY = """SELECT {key} AS package_id, ts::DATE AS date, count(*)::INTEGER AS downloads
   FROM events {where} GROUP BY 1, 2"""
