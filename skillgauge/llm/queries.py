@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.llm import warc
+from skillgauge.llm import bitslice, mixing, warc
 from skillgauge.session import fresh_path
 
 WARC_DATE = "2026-01-01T00:00:00Z"
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows of every vector whose id is divisible by 50."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    index = bitslice.build_index(vectors, fresh_path(spark, "slices"))
+    return bitslice.top_k(index, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents takes from each."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    return mixing.mix(docs, mixing.MixRule(), fresh_path(spark, "sizes"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as archives and read back."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
@@ -32,5 +45,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
