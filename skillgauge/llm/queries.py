@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.llm import bitslice, mixing, warc
+from skillgauge.llm import bitslice, merkle, mixing, notices, pieces, private, ranking, warc
 from skillgauge.session import fresh_path
 
 WARC_DATE = "2026-01-01T00:00:00Z"
@@ -20,6 +21,52 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(index, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    ranker = ranking.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    score = F.col("__score")
+    return ranking.scored(docs, ranker).select(
+        "doc_id",
+        ranking.held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= ranking.ACCEPT, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded, and decoded again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    coded = pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of all documents."""
+    return notices.scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
+def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = private.propose(docs).drop("text")
+    rows = private.labelled_rows(found, fresh_path(spark, "spans"))
+    spans = F.col("__spans")
+    base = F.filter(spans, lambda s: s["base"])
+    counts = [
+        F.size(F.filter(base, lambda s, no=no: s["kind"] == no)).cast("long").alias(f"n_{kind}")
+        for no, (kind, _) in enumerate(private.BASE)
+    ]
+    digest = F.sha2(private.listed(base).cast("binary"), 256)
+    return rows.select("doc_id", *counts, digest.alias("base_sha256"), private.listed(spans).alias("spans"))
+
+
+def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return merkle.fingerprints(docs, fresh_path(spark, "fingerprints"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents takes from each."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
@@ -46,6 +93,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_quality_ranking": op2_quality_ranking,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_license_scan": op4_license_scan,
+    "op6_private_data": op6_private_data,
+    "op8_merkle": op8_merkle,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
