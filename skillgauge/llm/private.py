@@ -218,6 +218,10 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
+def counted(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets."""
     names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))

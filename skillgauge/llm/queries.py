@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.llm import bitslice, merkle, mixing, notices, pieces, private, ranking, warc
+from skillgauge.llm import bitslice, jaccard, merkle, mixing, notices, pieces, private, ranking, warc
 from skillgauge.session import fresh_path
 
 WARC_DATE = "2026-01-01T00:00:00Z"
@@ -46,6 +46,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share most of their shingles."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return jaccard.linked_components(docs, lambda: fresh_path(spark, "near"))
+
+
 def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
@@ -54,7 +60,7 @@ def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("__spans")
     base = F.filter(spans, lambda s: s["base"])
     counts = [
-        F.size(F.filter(base, lambda s, no=no: s["kind"] == no)).cast("long").alias(f"n_{kind}")
+        private.counted(base, no).alias(f"n_{kind}")
         for no, (kind, _) in enumerate(private.BASE)
     ]
     digest = F.sha2(private.listed(base).cast("binary"), 256)
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_ranking": op2_quality_ranking,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_license_scan": op4_license_scan,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_private_data": op6_private_data,
     "op8_merkle": op8_merkle,
     "op9_mixing": op9_mixing,
