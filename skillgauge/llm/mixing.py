@@ -93,8 +93,9 @@ def source_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     ranges = F.ceil(F.sqrt("n"))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     bucket = F.floor(place * ranges / F.lit(2.0**32)).cast("long")
-    dealt = sized.join(plan, sized["source"].eqNullSafe(plan["source"])).select(
-        plan["source"].alias("source"), "key", "size", "rest", bucket.alias("bucket")
+    at = plan.withColumnRenamed("source", "at")
+    dealt = sized.join(at, F.col("source").eqNullSafe(F.col("at"))).select(
+        "source", "key", "size", "rest", bucket.alias("bucket")
     )
     running = Window.partitionBy("source").rowsBetween(Window.unboundedPreceding, 0)
     ends_here = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("part"))
@@ -150,8 +151,8 @@ def mix(docs: DataFrame, rule: MixRule, stored: str) -> DataFrame:
         random_key(F.col("doc_id"), rule.seed).alias("key"),
     ).write.parquet(stored)
     sized = spark.read.parquet(stored)
-    cuts = source_cuts(sized, source_targets(sized, rule))
-    joined = sized.join(cuts, sized["source"].eqNullSafe(cuts["source"]))
+    cuts = source_cuts(sized, source_targets(sized, rule)).withColumnRenamed("source", "at")
+    joined = sized.join(cuts, F.col("source").eqNullSafe(F.col("at")))
     return joined.select("doc_id", "size", "source_size", "target", taken_tokens()[1].alias("taken"))
 
 
@@ -175,7 +176,7 @@ def apply_mix(docs: DataFrame, rule: MixRule, stored: str) -> DataFrame:
     mixed = (
         docs.withColumn("size", size)
         .withColumn("key", key)
-        .join(cuts, docs["source"].eqNullSafe(F.col("at")))
+        .join(cuts, F.col("source").eqNullSafe(F.col("at")))
         .withColumn("part", part)
         .withColumn("text", F.explode(texts))
         .withColumn("n_chars", F.length("text").cast("long"))

@@ -164,3 +164,36 @@ def test_pipeline(spark, folder):
     if folder == SMALL:
         # Each group of documents that are all good leaves one.
         assert {groups[d] for d in kept} <= {groups[d] for d in good} and len(kept) > len({groups[d] for d in good}) / 2
+
+
+def test_mixing(spark, folder):
+    import math
+    from collections import defaultdict
+
+    rows = queries.op9_mixing(spark, folder).collect()
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    sizes = sorted((d, len(re.findall(r"[^\x20\x09-\x0D]+", t))) for d, t in given(spark, folder))
+    assert sorted((r.doc_id, r.size) for r in rows) == sizes
+    whole, target, taken = defaultdict(int), {}, defaultdict(int)
+    for r in rows:
+        whole[source[r.doc_id]] += r.size
+        target[source[r.doc_id]] = r.target
+        taken[source[r.doc_id]] += r.taken
+        assert 0 <= r.taken <= 2 * r.size and r.source_size is not None
+    names = sorted(whole, key=lambda s: (s is None, s or ""))
+    weight = dict(zip(names, [3, 1, 2] * len(names), strict=False))
+    left, free, want = 1.5 * sum(whole.values()), list(names), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if weight[s] * level > 2 * whole[s]]
+        if not over:
+            want |= {s: weight[s] * level for s in free}
+            break
+        want |= {s: 2.0 * whole[s] for s in over}
+        left -= sum(2.0 * whole[s] for s in over)
+        free = [s for s in free if s not in over]
+    for s in names:
+        assert math.isclose(target[s], want[s], rel_tol=1e-9, abs_tol=1e-6)
+        # Rows of one id cut at the budget may each lose part of a word.
+        assert abs(taken[s] - target[s]) <= 3
+    assert sorted(map(tuple, queries.op9_mixing(spark, folder).collect())) == sorted(map(tuple, rows))
