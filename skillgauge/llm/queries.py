@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.llm import bitslice, jaccard, merkle, mixing, notices, pieces, private, ranking, warc
+from skillgauge.llm import bitslice, jaccard, merkle, mixing, notices, pieces, private, ranking, repeats, warc
 from skillgauge.session import fresh_path
 
 WARC_DATE = "2026-01-01T00:00:00Z"
@@ -67,6 +67,14 @@ def op6_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, digest.alias("base_sha256"), private.listed(spans).alias("spans"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the word windows that occur earlier."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = repeats.remove_repeats(docs, lambda: fresh_path(spark, "repeats"))
+    digest = F.sha2(F.col("kept").cast("binary"), 256)
+    return rows.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 def op8_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -104,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_private_data": op6_private_data,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_merkle": op8_merkle,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,

@@ -197,3 +197,21 @@ def test_mixing(spark, folder):
         # Rows of one id cut at the budget may each lose part of a word.
         assert abs(taken[s] - target[s]) <= 3
     assert sorted(map(tuple, queries.op9_mixing(spark, folder).collect())) == sorted(map(tuple, rows))
+
+
+def test_repeated_windows(spark, folder):
+    docs = sorted(given(spark, folder))
+    seen, want = {}, []
+    split = [(d, re.findall(r"[^\x20\x09-\x0D]+", t)) for d, t in docs]
+    for d, words in split:
+        for i in range(len(words) - 19):
+            key = tuple(words[i : i + 20])
+            seen[key] = min(seen.get(key, (d, i)), (d, i))
+    for d, words in split:
+        gone = set()
+        for i in range(len(words) - 19):
+            if seen[tuple(words[i : i + 20])] < (d, i):
+                gone.update(range(i, i + 20))
+        want.append((d, len(words), len(gone), sha(" ".join(w for i, w in enumerate(words) if i not in gone))))
+    rows = sorted(map(tuple, queries.op7_substring_dedup(spark, folder).collect()))
+    assert rows == sorted(want)
