@@ -123,9 +123,11 @@ def search_jobs(jobs: DataFrame, words: list[str]) -> DataFrame:
     """Jobs whose description holds every word, with a relevance score.
 
     The score adds, per word, its number of occurrences times
-    ``ln(jobs / jobs with the word)``. Counting is one pass over the texts.
+    ``ln(jobs / jobs with the word)``. Without words nothing is found.
     """
     words = sorted({word.lower() for word in words if word})
+    if not words:
+        jobs = jobs.where(F.lit(False))
     counted = jobs.select(
         "job_id",
         F.array(

@@ -29,8 +29,7 @@ from skillgauge.operators.quality import (
 )
 from skillgauge.session import spread
 from skillgauge.sources.files import (
-    latest_export,
-    latest_stamp,
+    own_stamp,
     read_export,
     read_pages,
     write_export,
@@ -62,9 +61,10 @@ def parse_pages(
 
 
 def load_jobs(spark: SparkSession, root: str, stamp: str, now: Column) -> DataFrame:
-    """Newest jobs export -> ``jobs``. Returns inserted, failed, total; rows that
+    """Jobs export of ``stamp``, or else the newest -> ``jobs``. Returns inserted, failed, total; rows that
     break a rule are kept in ``rejected_jobs``."""
-    export = latest_export(spark, f"{root}/exports/jobs", schemas.JOBS_EXPORT)
+    exports = f"{root}/exports/jobs"
+    export = read_export(spark, exports, schemas.JOBS_EXPORT, own_stamp(spark, exports, stamp))
     return merge_jobs(export, root, stamp, now)
 
 
@@ -121,7 +121,9 @@ def current_catalog(
     spark: SparkSession, root: str, but: str | None = None
 ) -> DataFrame:
     versions = read_table(spark, root, "skills", schemas.SKILLS, but=but)
-    newest = versions.agg(F.max("load_id")).first()[0]
+    # Numbers by value, so that "10" follows "9"; other stamps as text.
+    order = F.struct(F.col("load_id").try_cast("decimal(38,0)").alias("number"), "load_id")
+    newest = versions.agg(F.max(order)["load_id"]).first()[0]
     return versions.filter(F.col("load_id") == F.lit(newest)).drop("load_id")
 
 
@@ -190,15 +192,15 @@ def extract_pairs(
 def load_pairs(
     spark: SparkSession, root: str, stamp: str, now: Column, mark: str = "inserted"
 ) -> DataFrame:
-    """Newest pairs export -> ``job_skills`` and marks. Returns inserted,
+    """Pairs export of ``stamp``, or else the newest -> ``job_skills`` and marks. Returns inserted,
     duplicates, failed, total.
 
     ``mark="inserted"`` marks jobs that got a new pair; ``mark="scanned"`` marks
     every job that was scanned, so that jobs without skills are not read again.
     """
     exports = f"{root}/exports"
-    newest = latest_stamp(spark, f"{exports}/pairs")
-    export = read_export(spark, f"{exports}/pairs", schemas.PAIRS_EXPORT, newest)
+    chosen = own_stamp(spark, f"{exports}/pairs", stamp)
+    export = read_export(spark, f"{exports}/pairs", schemas.PAIRS_EXPORT, chosen)
     jobs = read_table(spark, root, "jobs", schemas.JOBS)
     stored = read_table(spark, root, "job_skills", schemas.JOB_SKILLS, but=stamp)
     status_path = f"{root}/pair_status/run={stamp}"
@@ -209,7 +211,7 @@ def load_pairs(
     append_load(pairs_to_insert(status, now), root, "job_skills", stamp)
 
     if mark == "scanned":
-        done = read_export(spark, f"{exports}/scanned", "job_id string", newest)
+        done = read_export(spark, f"{exports}/scanned", "job_id string", chosen)
     else:
         done = status.filter(F.col("status") == INSERTED)
     marks = (

@@ -94,6 +94,14 @@ def latest_stamp(spark: SparkSession, root: str) -> str:
         raise FileNotFoundError(f"no exports in {root}") from None
 
 
+def own_stamp(spark: SparkSession, root: str, stamp: str) -> str:
+    """``stamp`` if it has an export of its own, so that a load that is run again
+    reads what it read before; else the newest export's."""
+    newest = latest_stamp(spark, root)
+    stamps = spark.read.text(f"{root}_stamps", recursiveFileLookup=True)
+    return newest if stamps.filter(F.col("value") == stamp).isEmpty() else stamp
+
+
 def read_export(spark: SparkSession, root: str, schema: str, stamp: str) -> DataFrame:
     """One export; no file of another one is opened."""
     return spark.read.schema(schema).json(f"{root}/export_ts={stamp}")
@@ -150,6 +158,9 @@ def _move_one(path: str, folder: str) -> str:
         if source_fs.get_file_info(source).type == missing:
             there = target_fs.get_file_info(target).type != missing
             return "moved" if there else "failed"
+        if target_fs.get_file_info(target).type != missing:
+            # Another file of this name was moved before: neither may be lost.
+            return "failed"
         target_fs.create_dir(target_root, recursive=True)
         source_fs.move(source, target)
         return "moved"

@@ -249,3 +249,19 @@ def test_a_stream_does_not_hide_the_newest_batch_export(spark, folder, tmp_path)
     ingest_stream(pages, root, str(tmp_path / "cp"), now=now(1)).awaitTermination()
     save(folder, "job_9", title="Nine", description="x")
     assert load_all(spark, folder, root, "20240101", 2)[1] == (1, 2, 6)
+
+
+def test_numeric_stamps_follow_by_value(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from skillgauge import schemas
+    from skillgauge.plans import pipeline
+    from skillgauge.sources.seed import seed_catalog
+    from skillgauge.sources.tables import read_table
+
+    now = F.current_timestamp()
+    for stamp, category in (("9", "old"), ("10", "new")):
+        batch = seed_catalog(spark).withColumn("category", F.lit(category))
+        pipeline.load_catalog(batch, str(tmp_path), stamp, now)
+    assert {r.category for r in pipeline.current_catalog(spark, str(tmp_path)).collect()} == {"new"}
+    assert read_table(spark, str(tmp_path), "skills", schemas.SKILLS).select("load_id").distinct().count() == 2
