@@ -5,9 +5,10 @@ their rarest shingles (a prefix long enough that two sets which link share one o
 them). Lists are read in blocks of sets of fitting size, and a place in a prefix
 bounds the overlap that is still possible, so whole blocks are skipped.
 
-Answers are derived from those of a similar set: each list has a pivot, all its sets
-are compared with it, and sets linked to the pivot need not be compared with each
-other. As Jaccard distance is a metric, a pair whose distances to a pivot differ by
+Lists that hold the same sets are folded to one. Answers are derived from those of a
+similar set: each list has a pivot, all its sets of fitting size are compared with
+it, and sets linked to the pivot need not be compared with each other. As Jaccard
+distance is a metric, a pair whose distances to a pivot differ by
 more than the threshold allows is skipped too. Only lists that still hold sets of
 several components are read pair by pair.
 
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ SHARE = (4, 5)
 FREQUENT = 50_000
 BLOCK_SETS = 2_000
 PIVOT_ROUNDS = 2
+GROUP_SETS = 500
 FACTORS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -114,28 +117,90 @@ def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFr
     return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n long, key binary, prefix array<long>")
 
 
-def distances(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """``pairs`` (a, b) with ``distance`` and whether they link."""
-    left = sets.select(F.col("id").alias("a"), F.col("found").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("found").alias("y"))
+def fits(n: Column, place: Column, other_n: Column, other_place: Column, share: tuple[int, int]) -> Column:
+    """Whether sizes, and the places of a shingle that both hold, still allow a link."""
+    most = 1 + F.least(n - place - 1, other_n - other_place - 1) + F.least(place, other_place)
+    sizes = F.least(n, other_n) * share[1] >= F.greatest(n, other_n) * share[0]
+    return sizes & (most * (share[0] + share[1]) >= (n + other_n) * share[0])
+
+
+def shared_entries(entries: DataFrame) -> DataFrame:
+    """``entries`` (token, id, n, place) of the tokens that occur more than once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, twice = None, False
         for batch in batches:
-            both, union = [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
+            if not batch.num_rows:
+                continue
+            both = [batch] if held is None else [held, batch]
+            table = pa.Table.from_batches(both).combine_chunks()
+            token = table["token"].to_numpy()
+            same = token[1:] == token[:-1]
+            keep = np.r_[twice, same] | np.r_[same, False]
+            yield from table.filter(pa.array(np.r_[keep[:-1], False])).to_batches()
+            # The next batch tells whether the last row's token comes again.
+            held, twice = table.slice(len(token) - 1).to_batches()[0], bool(keep[-1])
+        if held is not None and twice:
+            yield held
+
+    dealt = entries.select("token", "id", "n", "place").repartition("token").sortWithinPartitions("token")
+    return dealt.mapInArrow(rows, "token long, id binary, n long, place int")
+
+
+def folded_lists(lists: DataFrame) -> DataFrame:
+    """``lists`` without those of one set, and one of each group that hold the same sets.
+
+    Near copies share most of their shingles, so most lists repeat another one. The
+    one kept has the rarest places, at which skipping works best.
+    """
+    marks = lists.groupBy("token").agg(
+        F.count("*").alias("m"), F.min("id").alias("low"), F.max("id").alias("high"), F.max("place").alias("deep"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("one"),
+        F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("two"),
+    )
+    kept = marks.where("low <> high").groupBy("m", "low", "high", "one", "two").agg(F.min(F.struct("deep", "token"))["token"].alias("token"))
+    return lists.join(kept.select("token"), "token")
+
+
+def distances(pairs: DataFrame, bodies: DataFrame, share: tuple[int, int], size: int, stored) -> DataFrame:
+    """``pairs`` (a, b) with ``distance`` and whether they link.
+
+    Each ``a`` meets its partners in one group, or in several if it has many, so its
+    text moves once a group and not once a pair.
+    """
+    pairs = stored(pairs)
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_SETS).alias("parts"))
+    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
+    asked = stored(
+        dealt.select("a", "part", F.col("b").alias("id")).union(dealt.select("a", "part", F.col("a").alias("id")).distinct())
+    )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        x = np.zeros(0, np.uint64)
+        for batch in batches:
+            a, b, distance, linked = [], [], [], []
+            for one, other, partner, body in zip(*batch.columns, strict=True):
+                found = shingles(unpack(body.as_py()).decode(), size)
+                if not partner.as_py():
+                    x = found
+                    continue
+                small, large = (x, found) if len(x) <= len(found) else (found, x)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both.append(int((large[at] == small).sum()))
-                union.append(len(x) + len(y) - both[-1])
-            both, union = np.array(both, np.int64), np.array(union, np.int64)
+                both = int((large[at] == small).sum())
+                union = len(small) + len(large) - both
+                a.append(one.as_py())
+                b.append(other.as_py())
+                distance.append(1 - both / union)
+                linked.append(both * share[1] >= union * share[0])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(1 - both / np.maximum(union, 1)), pa.array(both * share[1] >= union * share[0])],
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())],
                 ["a", "b", "distance", "linked"],
             )
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(rows, "a binary, b binary, distance double, linked boolean")
+    found = asked.join(bodies, "id").withColumn("partner", F.col("id") != F.col("a"))
+    groups = found.select("a", "part", "partner", "id", "body").repartition("a", "part").sortWithinPartitions("a", "part", "partner")
+    return groups.select("a", "id", "partner", "body").mapInArrow(rows, "a binary, b binary, distance double, linked boolean")
 
 
 def components(edges: DataFrame, path) -> DataFrame:
@@ -219,55 +284,61 @@ def linked_components(docs: DataFrame, path, size: int = WORDS, share: tuple[int
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = stored(described_sets(docs, size, share))
-    # A set is named by its digest; equal sets are one from here on.
-    sets = members.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("doc_id"))
-    lists = sets.select(F.col("key").alias("id"), "n", "doc_id", F.posexplode("prefix").alias("place", "token"))
-    shared = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    lists = stored(lists.join(shared, "token"))
+    # Equal sets are one from here on, named by their first document; by their digest
+    # where that is null or the first of several sets.
+    firsts = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
+    several = firsts.groupBy("first").agg((F.count("*") > 1).alias("several")).where("several")
+    short = F.unhex(F.lpad(F.hex("first"), 16, "0"))
+    firsts = firsts.join(several, "first", "left")
+    firsts = stored(firsts.select("key", "first", F.when(F.col("several"), F.col("key")).otherwise(F.coalesce(short, "key")).alias("id")))
+    sets = members.join(firsts.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first")))
+    lists = stored(shared_entries(sets.select("id", "n", F.posexplode("prefix").alias("place", "token"))))
+    lists = stored(folded_lists(lists))
+    wanted = stored(firsts.join(lists.select("id").distinct(), "id"))
 
     def of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(3).compress
         for batch in batches:
-            found = [shingles(t.as_py(), size).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "found"])
-
-    wanted = lists.select("id", "doc_id").distinct()
-    # Rows that share a doc_id but not a text are told apart by the digest again.
-    texts = docs.join(wanted.withColumnRenamed("doc_id", "at"), F.col("doc_id").eqNullSafe(F.col("at"))).select("id", "text")
-    whole = texts.mapInArrow(of_text, "id binary, found binary")
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = [hashlib.blake2b(f.as_py(), digest_size=16).digest() == i.as_py() for i, f in zip(batch.column(0), batch.column(1), strict=True)]
-            yield batch.filter(pa.array(same, pa.bool_()))
-
-    whole = stored(whole.mapInArrow(digest, "id binary, found binary").dropDuplicates(["id"]))
+            names, bodies = [], []
+            for name, key, text in zip(*batch.columns, strict=True):
+                text = text.as_py() or ""
+                # Rows that share a doc_id but not a text are told apart by the digest.
+                if hashlib.blake2b(shingles(text, size).tobytes(), digest_size=16).digest() == key.as_py():
+                    names.append(name.as_py())
+                    bodies.append(pack(b" ".join(WORD.findall(text.encode().lower()))))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(bodies, pa.binary())], ["id", "body"])
+
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("id", "key", "text")
+    bodies = stored(texts.mapInArrow(of_text, "id binary, body binary").dropDuplicates(["id"]))
 
     linked = spark.createDataFrame([], "a binary, b binary")
     state = lists.withColumn("label", F.col("id")).withColumn("near", F.array().cast("array<double>"))
     for turn in range(PIVOT_ROUNDS):
         # A pivot of another component each time, drawn by a hash.
-        draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("drawn"), F.col("id").alias("id"))
+        draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("drawn"), "id", "n", "place", "label")
         spans = F.min("label") != F.max("label")
-        pivots = state.groupBy("token").agg(F.min(draw)["id"].alias("pivot"), spans.alias("open")).where("open").drop("open")
+        pivots = state.groupBy("token").agg(F.min(draw).alias("pivot"), spans.alias("open")).where("open").drop("open")
         state = state.join(pivots, "token")
-        fits = F.col("id") != F.col("pivot")
-        pairs = state.where(fits).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        known = stored(distances(pairs, whole, share))
+        apart = F.col("label") != F.col("pivot.label")
+        near = fits(F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place"), share)
+        pairs = state.where(apart & near).select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct()
+        known = stored(distances(pairs, bodies, share, size, stored))
         linked = linked.union(known.where("linked").select("a", "b"))
         labels = components(linked, path)
         far = known.select(F.col("a").alias("p"), F.col("b").alias("q"), "distance")
+        own = F.when(F.col("id") == F.col("pivot.id"), 0.0).otherwise(F.col("distance"))
         state = (
-            state.join(far, (F.least("id", "pivot") == F.col("p")) & (F.greatest("id", "pivot") == F.col("q")), "left")
-            .withColumn("near", F.array_append("near", F.when(fits, F.col("distance")).otherwise(0.0)))
+            state.join(far, (F.col("pivot.id") == F.col("p")) & (F.col("id") == F.col("q")), "left")
+            .withColumn("near", F.array_append("near", own))
             .drop("p", "q", "distance", "pivot", "label")
             .join(labels, "id", "left")
             .withColumn("label", F.coalesce("label", "id"))
         )
         state = stored(state)
     open_lists = state.groupBy("token").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("token")
-    rest = stored(distances(mixed_pairs(state.join(open_lists, "token"), share), whole, share))
+    rest = stored(distances(mixed_pairs(state.join(open_lists, "token"), share), bodies, share, size, stored))
     labels = components(linked.union(rest.where("linked").select("a", "b")), path)
-    named = sets.select("key", "doc_id").join(labels, F.col("key") == F.col("id"), "left").withColumn("label", F.coalesce("label", "key"))
+    named = firsts.withColumnRenamed("first", "doc_id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     by_key = named.select("key", "label").join(smallest, "label").select("key", "component_id")
     own: Column = F.coalesce("component_id", "doc_id")
