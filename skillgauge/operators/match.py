@@ -120,7 +120,7 @@ def match_pairs(
     Reads at most ``pattern_names`` + 1 catalog rows to the driver to choose the
     method. A catalog that fits becomes one literal pattern, and matching and
     naming stay inside the row: no join and no shuffle. A larger catalog is
-    joined on n-grams, with the same result.
+    joined on n-grams, with the same result: equal job rows get their pairs each.
     """
     rows = surfaces(catalog, match_variants).limit(pattern_names + 1).collect()
     if len(rows) > pattern_names:

@@ -86,7 +86,8 @@ def _leftmost_longest(hits: Column) -> Column:
     return F.aggregate(ordered, nothing, take, lambda state: state["kept"])
 
 
-# Two hashes tell rows apart, also such as share an id.
+# Two hashes tell rows apart, also such as share an id. Equal rows share both; they
+# are matched as one, and counted, so that each gets its pairs.
 _ROW = ["row_a", "row_b"]
 _JOB = [*_ROW, "job_id", "job_title"]
 
@@ -105,10 +106,38 @@ def _hits(cut: DataFrame, shapes: list[Row], keys: DataFrame) -> DataFrame:
     return found.select(*_JOB, "start", "end", skill.alias("skill_name"))
 
 
+# Most copies of a row that one row of the count stands for.
+_COPIES = 10_000
+
+
+def _for_each_row(pairs: DataFrame, cut: DataFrame) -> DataFrame:
+    """Each skill once per job row: equal rows get the same skills each.
+
+    Skills and copies meet in one shuffle, folded before it: a row of ``cut`` brings
+    a one and no skill.
+    """
+    one = cut.select(*_JOB, F.lit(None).cast("string").alias("skill_name"), F.lit(1).alias("n"))
+    rows = (
+        pairs.select(*_JOB, "skill_name", F.lit(0).alias("n"))
+        .unionByName(one)
+        .groupBy(*_JOB)
+        .agg(F.collect_set("skill_name").alias("skills"), F.sum("n").alias("n"))
+    )
+    # Copies are laid out in two steps, so that no array is as long as their number.
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_COPIES).cast("long")))
+    part = F.least(F.lit(_COPIES).cast("long"), F.col("n") - F.col("first")).cast("int")
+    return (
+        rows.filter(F.size("skills") > 0)
+        .withColumn("first", first)
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), part)))
+        .select("job_id", "job_title", F.explode("skills").alias("skill_name"))
+    )
+
+
 def match_by_grams(
     jobs: DataFrame, catalog: DataFrame, match_variants: bool = False
 ) -> DataFrame:
-    """Same result as the pattern method of ``match_pairs``.
+    """Same result as the pattern method of ``match_pairs``, also for equal rows.
 
     Texts never move. Only hits of several pieces are collected per text, and a
     text has no more of them than pieces per shape. The catalog is broadcast when
@@ -146,7 +175,9 @@ def match_by_grams(
         .filter("searched")
         .drop("searched")
     )
+    # A hash passes over nulls, so it is told where they are.
     text = ["job_id", "job_title", "job_description"]
+    text += [F.col(c).isNull() for c in ("job_id", "job_title")]
     cut = jobs.select(
         F.xxhash64(*text).alias("row_a"),
         F.xxhash64(*reversed(text)).alias("row_b"),
@@ -163,7 +194,7 @@ def match_by_grams(
         accepted = (
             _hits(cut, longer, keys)
             .groupBy(*_JOB)
-            .agg(_leftmost_longest(F.collect_list(hit)).alias("accepted"))
+            .agg(_leftmost_longest(F.collect_set(hit)).alias("accepted"))
         )
         found.append(
             accepted.select(*_JOB, F.explode("accepted.skill_name").alias("skill_name"))
@@ -181,4 +212,4 @@ def match_by_grams(
             )
         found.append(hits.select(*_JOB, "skill_name"))
     pairs = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    return pairs.distinct().drop(*_ROW)
+    return _for_each_row(pairs, cut)

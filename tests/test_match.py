@@ -109,6 +109,27 @@ def test_a_catalog_beyond_the_limit_is_joined(spark, frame):
     assert "regexp_extract_all(job_description" in df._jdf.queryExecution().toString()
 
 
+def test_both_branches_give_each_equal_row_its_pairs(spark, frame):
+    names = ["Spark", "SQL", "Spark SQL", "data lake house", "R"]
+    text = "spark sql, SQL and R in a Data Lake House; sql"
+    same = [("1", "t", text)] * 3 + [(None, "t", text)] * 2 + [("t", None, text)] * 2
+    same += [(None, None, "R, r")] * 4 + [("1", "t", "SQL")] * 2 + [("1", "u", text)]
+    same += [("2", "t", None)] * 2 + [("3", "t", "none")] * 2
+    df = frame(same, JOBS)
+    by_pattern, by_grams = (
+        sorted((tuple(r) for r in match_pairs(df, catalog(spark, names), pattern_names=n).collect()), key=repr)
+        for n in (100, 1)
+    )
+    assert by_grams == by_pattern
+    assert len(by_pattern) == 8 * 4 + 4 + 2
+
+
+def test_many_copies_of_a_row_are_all_kept(spark, frame):
+    df = frame([("1", "t", "b c a")], JOBS).crossJoin(spark.range(25_001)).drop("id")
+    got = match_by_grams(df, catalog(spark, ["a", "b c"])).groupBy("skill_name").count()
+    assert {tuple(r) for r in got.collect()} == {("a", 25_001), ("b c", 25_001)}
+
+
 def test_empty_catalog_gives_an_empty_frame(spark, frame):
     empty = seed_catalog(spark).limit(0)
     for method in (match_pairs, match_by_grams):
