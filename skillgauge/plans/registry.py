@@ -324,22 +324,34 @@ def orphan_pairs(spark, sf_dir):
 
 @query
 def row_quality(spark, sf_dir):
-    """Documents against the table's rules: the first line is the title, and the
-    date comes in the format of the language."""
+    """Documents against all rules of the job tables: the first line is the title,
+    the whole text the description, the customer's number the company, and the date
+    comes in the format of the language."""
     day = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("day")
+        F.col("o_orderkey").alias("doc_id"),
+        F.to_date("o_orderdate").alias("day"),
+        F.col("o_custkey").cast("string").alias("company_name"),
     )
     docs = table(spark, sf_dir, "documents").join(day, "doc_id", "left")
+    doc_id = F.col("doc_id").cast("string")
     rows = docs.select(
-        F.col("doc_id").cast("string").alias("job_source_id"),
+        "source",
+        doc_id.alias("job_source_id"),
+        F.col("lang").alias("country"),
+        "company_name",
+        extract.job_url(F.col("lang"), doc_id).alias("job_url"),
+        F.col("text").alias("job_description"),
         F.substring_index("text", "\n", 1).alias("job_title"),
         F.when(F.col("lang") == "de", F.date_format("day", "dd.MM.yyyy"))
         .when(F.col("lang") == "fr", F.date_format("day", "yyyyMMdd"))
         .otherwise(F.date_format("day", "yyyy-MM-dd"))
         .alias("posted_date"),
     )
-    widths = {c: schemas.JOBS_WIDTHS[c] for c in ("job_source_id", "job_title")}
-    return quality.row_errors(rows, widths, dates=["posted_date"])
+    required = [c for c in schemas.LEGACY_JOBS_REQUIRED if c in rows.columns]
+    checked = quality.row_errors(
+        rows, schemas.JOBS_WIDTHS, required=required, dates=["posted_date"]
+    )
+    return checked.select("job_source_id", "job_title", "posted_date", "error_reason")
 
 
 # --- extraction -------------------------------------------------------------

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skillgauge.operators import joins, merge, quality
+from skillgauge.plans import registry
 
 KEYS = ["source", "job_source_id"]
 BATCH = "source string, job_source_id string, file string, title string"
@@ -188,6 +189,28 @@ def test_row_rules(frame):
     assert dict(kept.dtypes)["posted"] == "date"
 
 
+def test_row_quality_reads_whole_documents_and_all_rules(frame, tmp_path):
+    docs = [
+        (1, "title\nbody", "en", "s"), (2, "title\nfine\nlast \0 line", "en", "s"),
+        (3, None, "en", "s"), (4, "title", "en", None), (5, "title", "en", "s" * 51),
+        (6, "title", "x" * 256, "s"), (7, "title", "x" * 480, "s"), (8, "t" * 256, "en", "s"),
+        (9, "title\nbody", "de", "s"), (10, "no order", "fr", "s" * 50),
+    ]
+    frame(docs, "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    orders = [(i, i, "2024-01-31") for i in range(1, 10)]
+    frame(orders, "o_orderkey long, o_custkey long, o_orderdate string").selectExpr(
+        "o_orderkey", "o_custkey", "to_timestamp(o_orderdate) as o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    checked = registry.row_quality(frame([(1,)], "i int").sparkSession, str(tmp_path))
+    assert {int(r.job_source_id): r.error_reason for r in checked.collect()} == {
+        1: None, 2: "nul:job_description", 3: "missing:job_title", 4: "missing:source",
+        5: "too_long:source", 6: "too_long:country", 7: "too_long:country",
+        8: "too_long:job_title", 9: "bad_date:posted_date", 10: None,
+    }
+
+
 def test_parse_metrics(frame):
     parsed = frame(
         [("1", None), ("1", None), ("1", None), ("2", None), (None, "bad_json"), (None, "bad_json")],
