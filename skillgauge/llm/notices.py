@@ -62,6 +62,17 @@ def scanner(notices: tuple[tuple[str, str], ...]):
     return seeds, checks
 
 
+def all_hits(pattern, joined: str, first: int, last: int) -> Iterator:
+    """Hits that do not overlap. A search gives the best one of its range, so what lies
+    before it is searched too, up to the space between."""
+    ranges = [(first, last)]
+    while ranges:
+        first, last = ranges.pop()
+        if hit := pattern.search(joined, first, last) if first < last else None:
+            yield hit
+            ranges += [(hit.end(), last), (first, hit.start() - 1)]
+
+
 def fuzzy_spans(joined: str, notices=NOTICES) -> list[tuple[int, int, str, int, float]]:
     """(start, end, label, errors, likeness) of notices in the joined words."""
     seeds, checks = scanner(notices)
@@ -81,7 +92,7 @@ def fuzzy_spans(joined: str, notices=NOTICES) -> list[tuple[int, int, str, int,
     for no, mine in windows.items():
         pattern, length, _ = checks[no]
         for first, last in mine:
-            for hit in pattern.finditer(joined, first, min(last, len(joined))):
+            for hit in all_hits(pattern, joined, first, min(last, len(joined))):
                 errors = sum(hit.fuzzy_counts)
                 found.append((hit.start(), hit.end(), notices[no][1], errors, 1 - errors / length))
     return sorted(set(found))

@@ -1,6 +1,7 @@
 """The queries against plain versions on whole small tables and on odd rows."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -215,3 +216,36 @@ def test_repeated_windows(spark, folder):
         want.append((d, len(words), len(gone), sha(" ".join(w for i, w in enumerate(words) if i not in gone))))
     rows = sorted(map(tuple, queries.op7_substring_dedup(spark, folder).collect()))
     assert rows == sorted(want)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_notice_spans_leave_no_hit_in_the_gaps():
+    from skillgauge.llm.notices import fuzzy_spans
+
+    notice = "all rights reserved"
+    joined = "all right reserved all rights reserved"
+    assert [s[:2] for s in fuzzy_spans(joined, ((notice, "x"),))] == [(0, 18), (19, 38)]
+
+    rng = random.Random(5)
+    words = ["all", "rights", "right", "reserved", "reservd", "al", "of"]
+    many = 0
+    for _ in range(300):
+        joined = " ".join(rng.choice([notice, "all right reserved", "all rights reservd", *words]) for _ in range(8))
+        spans = fuzzy_spans(joined, ((notice, "x"),))
+        assert all(edits(joined[a:b], notice) <= errors <= 1 for a, b, _, errors, _ in spans)
+        many += len(spans) > 1
+        at = 0
+        for a, b in [*(s[:2] for s in spans), (len(joined) + 1, 0)]:
+            gap = joined[at : max(a - 1, at)].split()
+            parts = (" ".join(gap[i:j]) for i in range(len(gap)) for j in range(i + 1, min(i + 5, len(gap)) + 1))
+            assert not [part for part in parts if edits(part, notice) <= 1]
+            at = b
+    assert many > 100
