@@ -2,8 +2,9 @@
 
 Equal sets are folded first; one document stands for each. Sets are indexed under
 their rarest shingles (a prefix long enough that two sets which link share one of
-them). Lists are read in blocks of sets of fitting size, and a place in a prefix
-bounds the overlap that is still possible, so whole blocks are skipped.
+them). Lists are read in order of size, so sets too small for the rest are dropped,
+and places in two prefixes bound the overlap that is still possible, pair by pair.
+Only components are computed, not all links.
 
 Lists that hold the same sets are folded to one. Answers are derived from those of a
 similar set: each list has a pivot, all its sets of fitting size are compared with
