@@ -7,6 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The setting cannot be changed once a session runs, so a local session's folder is
+# kept here by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def local_session(cores: str = "*", app: str = "skillgauge") -> SparkSession:
     """Session for tests and the bench. A cluster brings its own."""
     return (
@@ -37,9 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="skillgauge-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="skillgauge-")
+    return _LOCAL_DIRS[app]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
