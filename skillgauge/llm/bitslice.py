@@ -9,10 +9,14 @@ slices; rows that could still reach the k-th score are resolved exactly.
 
 Rows meet queries in blocks: each chunk of queries is sent to each group of blocks.
 
-Defined cases: vectors that are null, or hold a null, a non-finite component or one
-of 2**24 or more after scaling, take no part; vectors of different lengths are not
-compared; a row never meets queries of its own id; equal query rows count once,
-equal candidate rows each; an empty table gives an empty result.
+Vectors with a component of 2**24 or more after scaling are kept in blocks of their own,
+which hold eight-byte values and have as many slices as those values need.
+
+Defined cases: vectors that are null, or hold a null or a non-finite component, take no
+part; a component of 2**62 or more after scaling, or a returned score that does not fit a
+long, raises an error; vectors of different lengths are not compared; a row never meets
+queries of its own id; equal query rows count once, equal candidate rows each; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,18 +30,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256
-LIMIT = 2**24
+NARROW = 2**24
+LIMIT = 2**62
 BLOCK_ROWS = 4096
 CHUNK_QUERIES = 256
 TILE_QUERIES = 64
 DROPPED = 2
 
-BLOCK_SCHEMA = "dim int, part int, no int, ids binary, values binary, slices binary"
+BLOCK_SCHEMA = "dim int, part int, no int, width int, ids binary, values binary, slices binary"
 CHUNK_SCHEMA = "dim int, ids binary, values binary"
 
 
-def quantised(batch: pa.RecordBatch, scale: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(dimension, ids, integer matrix) of a batch's valid vectors."""
+def quantised(batch: pa.RecordBatch, scale: int) -> Iterator[tuple]:
+    """((dimension, bytes a value), ids, integer matrix) of a batch's valid vectors."""
     ids, vectors = batch.column(0), batch.column(1)
     keep = np.flatnonzero(vectors.is_valid().to_numpy(False) & ids.is_valid().to_numpy(False))
     vectors, ids = vectors.take(pa.array(keep)), ids.take(pa.array(keep)).to_numpy().astype(np.int64)
@@ -46,25 +51,31 @@ def quantised(batch: pa.RecordBatch, scale: int) -> Iterator[tuple[int, np.ndarr
     starts = np.cumsum(sizes) - sizes
     for dim in np.unique(sizes):
         rows = np.flatnonzero(sizes == dim)
-        matrix = np.floor(flat[starts[rows][:, None] + np.arange(dim)] * scale)
-        good = (np.abs(matrix) < LIMIT).all(axis=1)
-        yield int(dim), ids[rows[good]], matrix[good].astype(np.int64)
+        given = flat[starts[rows][:, None] + np.arange(dim)]
+        finite = np.isfinite(given).all(axis=1)
+        rows, matrix = rows[finite], np.floor(given[finite] * scale)
+        largest = np.abs(matrix).max(axis=1, initial=0)
+        if (largest >= LIMIT).any():
+            raise OverflowError("a vector component is too large for a score that is a long")
+        for width, good in ((4, largest < NARROW), (8, largest >= NARROW)):
+            if good.any():
+                yield (int(dim), width), ids[rows[good]], matrix[good].astype(np.int64)
 
 
 def gathered(batches, scale, size):
-    """Blocks of at most ``size`` vectors of one dimension."""
-    kept: dict[int, list] = {}
+    """Blocks of at most ``size`` vectors of one dimension and width."""
+    kept: dict[tuple, list] = {}
     for batch in batches:
-        for dim, ids, matrix in quantised(batch, scale):
-            kept.setdefault(dim, []).append((ids, matrix))
-            while sum(len(i) for i, _ in kept[dim]) >= size:
-                ids, matrix = (np.concatenate(x) for x in zip(*kept[dim], strict=True))
-                yield dim, ids[:size], matrix[:size]
-                kept[dim] = [(ids[size:], matrix[size:])]
-    for dim, parts in kept.items():
+        for kind, ids, matrix in quantised(batch, scale):
+            kept.setdefault(kind, []).append((ids, matrix))
+            while sum(len(i) for i, _ in kept[kind]) >= size:
+                ids, matrix = (np.concatenate(x) for x in zip(*kept[kind], strict=True))
+                yield *kind, ids[:size], matrix[:size]
+                kept[kind] = [(ids[size:], matrix[size:])]
+    for kind, parts in kept.items():
         ids, matrix = (np.concatenate(x) for x in zip(*parts, strict=True))
         if len(ids):
-            yield dim, ids, matrix
+            yield *kind, ids, matrix
 
 
 def slice_block(matrix: np.ndarray, dropped: int) -> np.ndarray:
@@ -159,6 +170,14 @@ def at_least(total: list, valid: np.ndarray, k: int, slack: np.ndarray) -> np.nd
     return over | equal
 
 
+def exact_scores(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Inner products of rows with one query; Python integers where a long could overflow."""
+    bound = np.abs(values.astype(float)) @ np.abs(weights.astype(float))
+    if bound.max(initial=0) < LIMIT:
+        return values.astype(np.int64) @ weights
+    return values.astype(object) @ weights.astype(object)
+
+
 def search_block(ids, values, slices, dropped, query_ids, queries, k):
     """For each query its k best rows of the block: (query place, row place, score)."""
     n = len(values)
@@ -175,15 +194,16 @@ def search_block(ids, values, slices, dropped, query_ids, queries, k):
             valid[q, r >> 6] &= ~np.uint64(1 << (int(r) & 63))
         total, sizes = sum_slices(slices, tile)
         # Dropped parts move a score by less than this many units of the sum.
-        slack = sizes.sum(axis=1) * ((1 << dropped) - 1) >> dropped
-        chosen = at_least(total, valid, k, slack.astype(object))
+        slack = sizes.astype(object).sum(axis=1) * ((1 << dropped) - 1) >> dropped
+        chosen = at_least(total, valid, k, slack)
         for q in range(len(tile)):
             rows = np.flatnonzero(np.unpackbits(chosen[q].view(np.uint8), bitorder="little"))
-            scores = values[rows].astype(np.int64) @ tile[q]
+            scores = exact_scores(values[rows], tile[q])
             best = np.lexsort((ids[rows], -scores))[:k]
             found_q.append(np.full(len(best), first + q))
             found_r.append(rows[best])
-            found_s.append(scores[best])
+            # A score beyond a long raises here.
+            found_s.append(scores[best].astype(np.int64))
     if not found_q:
         return (np.zeros(0, np.int64),) * 3
     return np.concatenate(found_q), np.concatenate(found_r), np.concatenate(found_s)
@@ -194,10 +214,10 @@ def build_index(vectors: DataFrame, path: str, scale=SCALE, dropped=DROPPED, row
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        for no, (dim, ids, matrix) in enumerate(gathered(batches, scale, rows)):
+        for no, (dim, width, ids, matrix) in enumerate(gathered(batches, scale, rows)):
             row = {
-                "dim": dim, "part": part, "no": no, "ids": ids.tobytes(),
-                "values": matrix.astype(np.int32).tobytes(), "slices": slice_block(matrix, dropped).tobytes(),
+                "dim": dim, "part": part, "no": no, "width": width, "ids": ids.tobytes(),
+                "values": matrix.astype(f"i{width}").tobytes(), "slices": slice_block(matrix, dropped).tobytes(),
             }
             yield pa.RecordBatch.from_pylist([row], BLOCKS)
 
@@ -206,7 +226,7 @@ def build_index(vectors: DataFrame, path: str, scale=SCALE, dropped=DROPPED, row
 
 
 BLOCKS = pa.schema([
-    ("dim", pa.int32()), ("part", pa.int32()), ("no", pa.int32()),
+    ("dim", pa.int32()), ("part", pa.int32()), ("no", pa.int32()), ("width", pa.int32()),
     ("ids", pa.binary()), ("values", pa.binary()), ("slices", pa.binary()),
 ])
 
@@ -220,7 +240,7 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, scale=SCALE, dropped=DRO
     """
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for dim, ids, matrix in gathered(batches, scale, chunk):
+        for dim, _, ids, matrix in gathered(batches, scale, chunk):
             row = {"dim": dim, "ids": ids.tobytes(), "values": matrix.tobytes()}
             yield pa.RecordBatch.from_pylist([row], pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("values", pa.binary())]))
 
@@ -229,7 +249,7 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, scale=SCALE, dropped=DRO
             for row in batch.to_pylist():
                 dim = row["dim"]
                 ids = np.frombuffer(row["ids"], np.int64)
-                values = np.frombuffer(row["values"], np.int32).reshape(len(ids), dim)
+                values = np.frombuffer(row["values"], f"i{row['width']}").reshape(len(ids), dim)
                 words = -(-len(ids) // 64)
                 slices = np.frombuffer(row["slices"], np.uint64)
                 slices = slices.reshape(dim, len(slices) // max(dim * words, 1), words)
