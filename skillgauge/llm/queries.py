@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillgauge.llm import bitslice, jaccard, merkle, mixing, notices, pieces, private, ranking, repeats, warc
+from skillgauge.llm import bitslice, jaccard, merkle, mixing, notices, phrases, pieces, private, ranked, ranking, repeats, trie, warc
 from skillgauge.session import fresh_path
 
 WARC_DATE = "2026-01-01T00:00:00Z"
@@ -105,6 +105,35 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations."""
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+
+    def fresh():
+        return fresh_path(spark, "trie")
+
+    turns, lengths = trie.rebuilt(talks, fresh)
+    return trie.trie_nodes(turns, lengths, fresh)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return ranked.ranked_search(docs, items, fresh_path(spark, "postings"), fresh_path(spark, "owned"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document holds of the benchmark items."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = phrases.contamination(docs, items, fresh_path(spark, "postings"), fresh_path(spark, "matches"))
+    digest = F.sha2(F.col("items").cast("binary"), 256).alias("items_sha256")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest, (F.col("n_hit") > 0).alias("contaminated"), "n_near"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_quality_ranking": op2_quality_ranking,
@@ -116,4 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_merkle": op8_merkle,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_decontamination": op13_decontamination,
 }
