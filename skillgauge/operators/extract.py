@@ -62,8 +62,10 @@ def parse_postings(pages: DataFrame, source: str = SOURCE) -> DataFrame:
     ``error_reason``.
 
     ``pages`` holds ``file_name`` and ``html``; a null ``html`` stands for a
-    file that is not UTF-8. Narrow: nothing is shuffled.
+    file that is not UTF-8. Narrow: nothing is shuffled. JSON in the wild repeats keys,
+    of which the last one counts, so the session is told to accept them.
     """
+    pages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     block = F.regexp_extract("html", JSON_LD, 1)
     read = pages.select("file_name", "html").withColumn("_block", block)
     read = read.withColumn("_json", F.try_parse_json("_block"))

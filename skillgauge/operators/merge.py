@@ -17,16 +17,12 @@ _OPEN = "_open_key"
 
 
 def _open_key(keys: list[str], order: list[str]) -> Column:
-    """Empty for a complete key. A key with a null equals no other key, so such a
-    row gets a value of its own content and of its partition, which also keeps
-    these rows apart in shuffles."""
+    """Empty for a complete key. A key with a null equals no other key, so such a row
+    gets a value of its own content, which also keeps these rows apart in shuffles."""
     partial = F.lit(False)
     for key in keys:
         partial = partial | F.col(key).isNull()
-    own = F.concat_ws(
-        "-", stable_id(*[F.col(c) for c in order]), F.spark_partition_id()
-    )
-    return F.when(partial, own).otherwise("")
+    return F.when(partial, stable_id(*[F.col(c) for c in order])).otherwise("")
 
 
 def first_per_key(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -70,11 +66,15 @@ def absent_rows(
     keys: list[str],
     order: list[str],
     id_name: str | None = None,
+    load: str = "",
 ) -> DataFrame:
     """Rows of the batch that insert-if-absent would add to the target.
 
     The fold and the anti join share one shuffle of the batch. Of the target
-    only the key columns are read. ``id_name`` adds an id made from the key.
+    only the key columns are read. ``id_name`` adds an id made from the key. A row
+    whose key holds a null has the id of its content, its number among equal rows and
+    ``load``, so ids differ over all loads and come out the same when a load is run
+    again.
     """
     # Always empty, but not a constant: the optimizer would take a constant out of
     # the join key, and rows with a null in their key would all meet in one task.
@@ -82,7 +82,8 @@ def absent_rows(
     known = target.select(*keys).dropna(how="any").withColumn(_OPEN, complete)
     first = first_per_key(batch, keys, order)
     new = _all_open_rows(first.join(known, [*keys, _OPEN], "left_anti"))
-    made = stable_id(*[F.col(k) for k in [*keys, _OPEN]])
+    own = F.when(F.col(_OPEN) == "", "").otherwise(F.concat_ws("-", _OPEN, F.lit(load)))
+    made = stable_id(*[F.col(k) for k in keys], own)
     ids = [] if id_name is None else [made.alias(id_name)]
     return new.select(*ids, *batch.columns)
 
@@ -121,14 +122,11 @@ def pair_status(
         ["job_id"],
     )
     # A job has at most one row per skill here, so these keys are even.
-    known = named.join(
-        jobs.select("job_id", F.lit(True).alias("_job")), "job_id", "left"
-    )
-    seen = known.join(
-        job_skills.select("job_id", "skill_id", F.lit(True).alias("_pair")),
-        ["job_id", "skill_id"],
-        "left",
-    )
+    known_jobs = jobs.select("job_id").distinct().withColumn("_job", F.lit(True))
+    known = named.join(known_jobs, "job_id", "left")
+    pair = ["job_id", "skill_id"]
+    stored = job_skills.select(*pair).distinct().withColumn("_pair", F.lit(True))
+    seen = known.join(stored, pair, "left")
     one = F.lit(1).cast("long")
 
     def outcome(status, n_rows):

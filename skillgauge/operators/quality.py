@@ -69,19 +69,24 @@ def parse_metrics(parsed: DataFrame, key: str = "job_source_id") -> DataFrame:
     )
 
 
-def load_summary(status: DataFrame) -> DataFrame:
-    """One row: inserted, duplicates, failed, total, over the input rows."""
+def status_counts() -> list[Column]:
+    """Aggregates over pair outcomes: inserted, duplicates, failed, total input rows."""
 
     def rows_with(value):
         picked = F.when(F.col("status") == value, F.col("n_rows"))
         return F.coalesce(F.sum(picked), F.lit(0).cast("long"))
 
-    return status.agg(
+    return [
         rows_with(INSERTED).alias("inserted"),
         rows_with(DUPLICATE).alias("duplicates"),
         rows_with(FAILED).alias("failed"),
         F.coalesce(F.sum("n_rows"), F.lit(0).cast("long")).alias("total"),
-    )
+    ]
+
+
+def load_summary(status: DataFrame) -> DataFrame:
+    """One row: inserted, duplicates, failed, total, over the input rows."""
+    return status.agg(*status_counts())
 
 
 def jobs_load_summary(checked: DataFrame, inserted: DataFrame) -> DataFrame:

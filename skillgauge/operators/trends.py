@@ -11,7 +11,7 @@ def daily_downloads(events: DataFrame, now: Column) -> DataFrame:
     """Raw download records (package_id, ts) folded to one row per package and
     day. Partial counts are combined before the shuffle."""
     days = events.groupBy("package_id", F.to_date("ts").alias("date")).agg(
-        F.count("*").cast("int").alias("downloads")
+        F.count("*").alias("downloads")
     )
     return days.select(
         stable_id(F.col("package_id"), F.col("date")).alias("download_id"),

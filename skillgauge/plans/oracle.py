@@ -134,7 +134,7 @@ _NODES = (
 _PAGE_TEXT = f"""page_texts AS (
   SELECT page_id, array_to_string({_NODES}, ' ') AS job_description FROM pages)"""
 
-_DAILY = """SELECT {key} AS package_id, ts::DATE AS date, count(*)::INTEGER AS downloads
+_DAILY = """SELECT {key} AS package_id, ts::DATE AS date, count(*) AS downloads
   FROM events {where} GROUP BY 1, 2"""
 
 _USER_DAILY = _DAILY.format(key="user_id::VARCHAR", where="")

@@ -2,10 +2,12 @@
 
 Each step writes its result below ``root`` under the stamp it is given, so a step
 can be run again with the same stamp, and a later step never repeats the work of
-an earlier one. Counts are returned as one-row DataFrames over written data.
+an earlier one. Counts are returned as one-row DataFrames. They are taken by the tasks
+that write a result, never before a shuffle, so that nothing is read again for them and
+a task that is run again counts once.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skillgauge import schemas
@@ -20,21 +22,21 @@ from skillgauge.operators.merge import (
     pair_status,
     pairs_to_insert,
 )
-from skillgauge.operators.quality import (
-    jobs_load_summary,
-    load_summary,
-    parse_metrics,
-    row_errors,
-    stored_values,
-)
+from skillgauge.operators.quality import row_errors, status_counts, stored_values
 from skillgauge.session import spread
 from skillgauge.sources.files import (
-    own_stamp,
     read_export,
     read_pages,
+    write_counted_export,
     write_export,
 )
-from skillgauge.sources.tables import append_load, read_loads, read_table
+from skillgauge.sources.pages import consume_folder
+from skillgauge.sources.tables import append_load, read_loads, read_table, table_loads
+
+
+def _counts(spark: SparkSession, **counts: int) -> DataFrame:
+    schema = ", ".join(f"{name} long" for name in counts)
+    return spark.createDataFrame([tuple(counts.values())], schema)
 
 
 def parse_folder(
@@ -51,35 +53,60 @@ def parse_pages(
     source: str = SOURCE,
     exports: str = "exports/jobs",
 ) -> DataFrame:
-    parsed_path = f"{root}/parsed/run={stamp}"
-    parse_postings(pages, source).write.mode("overwrite").parquet(parsed_path)
-    parsed = pages.sparkSession.read.parquet(parsed_path)
-    good, _ = split_errors(parsed)
+    spark, parsed_path = pages.sparkSession, f"{root}/parsed/run={stamp}"
+    seen = Observation()
+    failed = F.count("error_reason").alias("failed")
+    parsed = parse_postings(pages, source).observe(seen, F.count(F.lit(1)).alias("files"), failed)
+    parsed.write.mode("overwrite").parquet(parsed_path)
+    good, _ = split_errors(spark.read.schema(parsed.schema).parquet(parsed_path))
     first = dedup(good, ["job_source_id"], ["file_name"]).drop("file_name")
-    write_export(first, f"{root}/{exports}", stamp)
-    return parse_metrics(parsed)
+    _, saved = write_counted_export(first, f"{root}/{exports}", stamp)
+    files, failed = seen.get["files"], seen.get["failed"]
+    return _counts(spark, files=files, saved=saved, duplicates=files - failed - saved, failed=failed)
+
+
+def consume_pages(
+    spark: SparkSession, folder: str, root: str, stamp: str, now: Column, source: str = SOURCE
+) -> DataFrame:
+    """New pages of a folder -> ``jobs``, each file once; files that were read are moved
+    to ``<folder>_processed/<stamp>``. Returns files, moved."""
+
+    def take(run: str, pages: DataFrame) -> None:
+        parse_pages(spread(pages), root, run, source)
+        load_jobs(spark, root, run, now)
+
+    consume_folder(spark, folder, root, stamp, take)
+    moves = read_loads(spark, root, "moved_files", "file_path string, status string", [stamp])
+    return moves.agg(F.count("*").alias("files"), F.count_if(F.col("status") == "moved").alias("moved"))
 
 
-def load_jobs(spark: SparkSession, root: str, stamp: str, now: Column) -> DataFrame:
-    """Jobs export of ``stamp``, or else the newest -> ``jobs``. Returns inserted, failed, total; rows that
-    break a rule are kept in ``rejected_jobs``."""
-    exports = f"{root}/exports/jobs"
-    export = read_export(spark, exports, schemas.JOBS_EXPORT, own_stamp(spark, exports, stamp))
-    return merge_jobs(export, root, stamp, now)
+def load_jobs(
+    spark: SparkSession, root: str, stamp: str, now: Column, export: str | None = None
+) -> DataFrame:
+    """Jobs export ``export``, by default the one named ``stamp`` -> ``jobs``. Returns
+    inserted, failed, total; rows that break a rule are kept in ``rejected_jobs``. Fails
+    if there is no such export; ``files.latest_stamp`` names the newest."""
+    rows = read_export(spark, f"{root}/exports/jobs", schemas.JOBS_EXPORT, export or stamp)
+    return merge_jobs(rows, root, stamp, now)
 
 
 def merge_jobs(export: DataFrame, root: str, stamp: str, now: Column) -> DataFrame:
     spark = export.sparkSession
     checked = row_errors(export, schemas.JOBS_WIDTHS, dates=["posted_date"])
-    good, bad = split_errors(checked)
+    good, _ = split_errors(checked)
     rows = stored_values(good, schemas.JOBS_WIDTHS, dates=["posted_date"])
-    order = rows.columns
     target = read_table(spark, root, "jobs", schemas.JOBS, but=stamp)
-    new = absent_rows(rows, target, schemas.JOBS_KEY, order, id_name="job_id")
-    append_load(as_unprocessed(new, now), root, "jobs", stamp)
-    append_load(bad, root, "rejected_jobs", stamp)
-    inserted = read_loads(spark, root, "jobs", schemas.JOBS, [stamp])
-    return jobs_load_summary(checked, inserted)
+    new = absent_rows(rows, target, schemas.JOBS_KEY, rows.columns, id_name="job_id", load=stamp)
+    inserted = append_load(as_unprocessed(new, now), root, "jobs", stamp)
+    return _with_rejected(checked, root, "rejected_jobs", stamp, inserted)
+
+
+def _with_rejected(checked: DataFrame, root: str, table: str, stamp: str, inserted: int) -> DataFrame:
+    """Keep the rejected rows. Returns inserted, failed, total."""
+    seen = Observation()
+    _, bad = split_errors(checked.observe(seen, F.count(F.lit(1)).alias("total")))
+    failed = append_load(bad, root, table, stamp)
+    return _counts(checked.sparkSession, inserted=inserted, failed=failed, total=seen.get["total"])
 
 
 def merge_legacy_jobs(
@@ -96,35 +123,44 @@ def merge_legacy_jobs(
     checked = row_errors(
         rows, schemas.LEGACY_JOBS_WIDTHS, required=schemas.LEGACY_JOBS_REQUIRED
     )
-    good, bad = split_errors(checked)
+    good, _ = split_errors(checked)
     good = stored_values(good, schemas.LEGACY_JOBS_WIDTHS)
     target = read_table(spark, root, "legacy_jobs", schemas.LEGACY_JOBS, but=stamp)
     new = absent_rows(
-        good, target, schemas.LEGACY_JOBS_KEY, good.columns, id_name="job_id"
+        good, target, schemas.LEGACY_JOBS_KEY, good.columns, id_name="job_id", load=stamp
     )
     at = now.cast("timestamp_ntz")
     stored = new.withColumns({"created_at": at, "updated_at": at})
-    append_load(stored.select(*table.columns), root, "legacy_jobs", stamp)
-    append_load(bad, root, "rejected_legacy_jobs", stamp)
-    inserted = read_loads(spark, root, "legacy_jobs", schemas.LEGACY_JOBS, [stamp])
-    return jobs_load_summary(checked, inserted)
+    inserted = append_load(stored.select(*table.columns), root, "legacy_jobs", stamp)
+    return _with_rejected(checked, root, "rejected_legacy_jobs", stamp, inserted)
+
 
+def load_catalog(batch: DataFrame, root: str, stamp: str, now: Column) -> DataFrame:
+    """Upsert into ``skills``: each load is a whole new version. Returns inserted, failed,
+    total; rows without a name, or with one too long, are kept in ``rejected_skills``.
 
-def load_catalog(batch: DataFrame, root: str, stamp: str, now: Column) -> None:
-    """Upsert into ``skills``: each load is a whole new version."""
+    A load that is run again starts from the version before it, as it did at first.
+    """
     spark = batch.sparkSession
-    target = current_catalog(spark, root, but=stamp)
-    append_load(upsert_catalog(target, batch, now), root, "skills", stamp)
+    checked = row_errors(batch, schemas.SKILLS_WIDTHS, required=["skill_name"])
+    good, _ = split_errors(checked)
+    rows = stored_values(good, {c: w for c, w in schemas.SKILLS_WIDTHS.items() if c in batch.columns})
+    target = _catalog_before(spark, root, stamp)
+    append_load(upsert_catalog(target, rows, now), root, "skills", stamp)
+    summary = _with_rejected(checked, root, "rejected_skills", stamp, 0)
+    return summary.withColumn("inserted", F.col("total") - F.col("failed"))
 
 
-def current_catalog(
-    spark: SparkSession, root: str, but: str | None = None
-) -> DataFrame:
-    versions = read_table(spark, root, "skills", schemas.SKILLS, but=but)
-    # Numbers by value, so that "10" follows "9"; other stamps as text.
-    order = F.struct(F.col("load_id").try_cast("decimal(38,0)").alias("number"), "load_id")
-    newest = versions.agg(F.max(order)["load_id"]).first()[0]
-    return versions.filter(F.col("load_id") == F.lit(newest)).drop("load_id")
+def _catalog_before(spark: SparkSession, root: str, stamp: str | None = None) -> DataFrame:
+    """The version that the load before ``stamp`` made; the newest if it is new."""
+    loads = [load.load_id for load in table_loads(spark, root, "skills")]
+    loads = loads[: loads.index(stamp)] if stamp in loads else loads
+    return read_loads(spark, root, "skills", schemas.SKILLS, loads[-1:]).drop("load_id")
+
+
+def current_catalog(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of the catalog: the one of the load made last."""
+    return _catalog_before(spark, root)
 
 
 def current_jobs(spark: SparkSession, root: str) -> DataFrame:
@@ -190,24 +226,24 @@ def extract_pairs(
 
 
 def load_pairs(
-    spark: SparkSession, root: str, stamp: str, now: Column, mark: str = "inserted"
+    spark: SparkSession, root: str, stamp: str, now: Column, mark: str = "inserted", export: str | None = None
 ) -> DataFrame:
-    """Pairs export of ``stamp``, or else the newest -> ``job_skills`` and marks. Returns inserted,
-    duplicates, failed, total.
+    """Pairs export ``export``, by default the one named ``stamp`` -> ``job_skills`` and
+    marks. Returns inserted, duplicates, failed, total.
 
     ``mark="inserted"`` marks jobs that got a new pair; ``mark="scanned"`` marks
     every job that was scanned, so that jobs without skills are not read again.
     """
-    exports = f"{root}/exports"
-    chosen = own_stamp(spark, f"{exports}/pairs", stamp)
-    export = read_export(spark, f"{exports}/pairs", schemas.PAIRS_EXPORT, chosen)
+    exports, chosen = f"{root}/exports", export or stamp
+    pairs = read_export(spark, f"{exports}/pairs", schemas.PAIRS_EXPORT, chosen)
     jobs = read_table(spark, root, "jobs", schemas.JOBS)
     stored = read_table(spark, root, "job_skills", schemas.JOB_SKILLS, but=stamp)
     status_path = f"{root}/pair_status/run={stamp}"
-    pair_status(export, current_catalog(spark, root), jobs, stored).write.mode(
-        "overwrite"
-    ).parquet(status_path)
-    status = spark.read.parquet(status_path)
+    seen = Observation()
+    status = pair_status(pairs, current_catalog(spark, root), jobs, stored)
+    status = status.observe(seen, *status_counts())
+    status.write.mode("overwrite").parquet(status_path)
+    status = spark.read.schema(status.schema).parquet(status_path)
     append_load(pairs_to_insert(status, now), root, "job_skills", stamp)
 
     if mark == "scanned":
@@ -220,4 +256,4 @@ def load_pairs(
         .withColumn("skill_extraction_date", now.cast("timestamp_ntz"))
     )
     append_load(marks, root, "job_marks", stamp)
-    return load_summary(status)
+    return _counts(spark, **{name: seen.get[name] for name in ("inserted", "duplicates", "failed", "total")})

@@ -33,7 +33,7 @@ PACKAGES = (
     "description string, created_at timestamp_ntz"
 )
 PACKAGE_DOWNLOADS = (
-    "download_id string, package_id string, date date, downloads int, "
+    "download_id string, package_id string, date date, downloads long, "
     "created_at timestamp_ntz"
 )
 

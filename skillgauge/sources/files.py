@@ -1,13 +1,16 @@
 """Saved pages, JSON exports and CSV exports."""
 
 import os
+from dataclasses import replace
+from functools import reduce
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgauge.functions.text import newline_normalised
+from skillgauge.sources.commits import commit, live_loads, next_load, read_log, stamp_order
+from skillgauge.sources.tables import counted
 
 
 def _pages(files: DataFrame) -> DataFrame:
@@ -64,47 +67,51 @@ def compact_pages(pages: DataFrame, path: str) -> None:
 
 
 def write_export(df: DataFrame, root: str, export_ts: str) -> str:
-    """JSON lines below ``export_ts=...``; a repeated write replaces itself. Null
-    fields are written, so every line has all keys.
-
-    A stamp beside the exports is written last. It says that the export is whole,
-    and makes one without any row count as an export too.
-    """
-    path = f"{root}/export_ts={export_ts}"
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    stamp = df.sparkSession.range(1).select(F.lit(export_ts).alias("value"))
-    stamp.write.mode("overwrite").text(f"{root}_stamps/{export_ts}")
-    return path
+    """JSON lines in a folder of the export's own; returns its path. A repeated write
+    takes the place of the first one when it is whole. Null fields are written, so every
+    line has all keys."""
+    return write_counted_export(df, root, export_ts)[0]
+
+
+def write_counted_export(df: DataFrame, root: str, export_ts: str) -> tuple[str, int]:
+    """``write_export``, with the number of rows that were written."""
+    spark, log_path = df.sparkSession, f"{root}_log"
+    log = read_log(spark, log_path)
+    load = next_load(log, export_ts, f"export_ts={export_ts}")
+    if any(known.folder == load.folder for known in log):
+        load = replace(load, folder=f"{load.folder}.{load.version}")
+    rows, seen = counted(df)
+    path = f"{root}/{load.folder}"
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    commit(spark, log_path, [replace(load, n_rows=seen.get["n"])])
+    return path, seen.get["n"]
 
 
 def read_exports(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """All exports below ``root`` with their ``export_ts``."""
-    return spark.read.schema(f"{schema}, export_ts string").json(root)
+    parts = [
+        spark.read.schema(schema).json(f"{root}/{load.folder}").withColumn("export_ts", F.lit(load.load_id))
+        for load in live_loads(read_log(spark, f"{root}_log"))
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], f"{schema}, export_ts string")
 
 
 def latest_stamp(spark: SparkSession, root: str) -> str:
-    """Name of the newest whole export. Raises ``FileNotFoundError`` if there is
-    none."""
-    try:
-        stamps = spark.read.text(f"{root}_stamps", recursiveFileLookup=True)
-        return stamps.agg(F.max("value")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"no exports in {root}") from None
-
-
-def own_stamp(spark: SparkSession, root: str, stamp: str) -> str:
-    """``stamp`` if it has an export of its own, so that a load that is run again
-    reads what it read before; else the newest export's."""
-    newest = latest_stamp(spark, root)
-    stamps = spark.read.text(f"{root}_stamps", recursiveFileLookup=True)
-    return newest if stamps.filter(F.col("value") == stamp).isEmpty() else stamp
+    """Name of the newest whole export: numbers by value, other names as text. Raises
+    ``FileNotFoundError`` if there is none."""
+    stamps = [load.load_id for load in live_loads(read_log(spark, f"{root}_log"))]
+    if not stamps:
+        raise FileNotFoundError(f"no exports in {root}")
+    return max(stamps, key=stamp_order)
 
 
 def read_export(spark: SparkSession, root: str, schema: str, stamp: str) -> DataFrame:
-    """One export; no file of another one is opened."""
-    return spark.read.schema(schema).json(f"{root}/export_ts={stamp}")
+    """One export; no file of another one is opened. Raises ``FileNotFoundError`` if no
+    whole export has this name."""
+    for load in live_loads(read_log(spark, f"{root}_log")):
+        if load.load_id == stamp:
+            return spark.read.schema(schema).json(f"{root}/{load.folder}")
+    raise FileNotFoundError(f"no export {stamp} in {root}")
 
 
 def latest_export(spark: SparkSession, root: str, schema: str) -> DataFrame:

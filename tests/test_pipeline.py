@@ -77,7 +77,7 @@ def test_repeats_change_nothing(spark, folder, tmp_path):
     pipeline.extract_pairs(spark, root, "1")
     assert row(pipeline.load_pairs(spark, root, "1", now(2))) == (4, 0, 0, 4)
     assert row(pipeline.load_pairs(spark, root, "1", now(2))) == (4, 0, 0, 4)
-    assert row(pipeline.load_pairs(spark, root, "2", now(3))) == (0, 4, 0, 4)
+    assert row(pipeline.load_pairs(spark, root, "2", now(3), export="1")) == (0, 4, 0, 4)
     assert read_table(spark, root, "job_skills", schemas.JOB_SKILLS).count() == 4
 
 
@@ -265,3 +265,118 @@ def test_numeric_stamps_follow_by_value(spark, tmp_path):
         pipeline.load_catalog(batch, str(tmp_path), stamp, now)
     assert {r.category for r in pipeline.current_catalog(spark, str(tmp_path)).collect()} == {"new"}
     assert read_table(spark, str(tmp_path), "skills", schemas.SKILLS).select("load_id").distinct().count() == 2
+
+
+def test_a_mistyped_stamp_loads_nothing(spark, folder, tmp_path):
+    root = str(tmp_path / "root")
+    load_all(spark, folder, root, "9", 1)
+    for step in (pipeline.load_jobs, pipeline.load_pairs):
+        with pytest.raises(FileNotFoundError):
+            step(spark, root, "11", now(1))
+    assert read_table(spark, root, "jobs", schemas.JOBS).select("load_id").distinct().count() == 1
+
+
+def test_catalog_rules(spark, frame, tmp_path):
+    rows = [("A", "c"), (None, "c"), ("B" * 101, "c"), ("C", "d" * 51), ("D  " + " " * 200, None)]
+    batch = frame(rows, "skill_name string, category string")
+    assert row(pipeline.load_catalog(batch, str(tmp_path), "1", now(1))) == (2, 3, 5)
+    names = [r.skill_name for r in pipeline.current_catalog(spark, str(tmp_path)).collect()]
+    assert sorted(n.rstrip() for n in names) == ["A", "D"] and all(len(n) <= 100 for n in names)
+    bad = read_table(spark, str(tmp_path), "rejected_skills", "error_reason string").collect()
+    assert sorted(r.error_reason for r in bad) == ["missing:skill_name", "too_long:category", "too_long:skill_name"]
+
+
+def test_a_catalog_load_that_is_run_again_starts_from_the_same_version(spark, frame, tmp_path):
+    root = str(tmp_path)
+
+    def load(stamp, name):
+        pipeline.load_catalog(frame([(name, "c")], "skill_name string, category string"), root, stamp, now(1))
+        return sorted(r.skill_name for r in pipeline.current_catalog(spark, root).collect())
+
+    assert load("9", "A") == ["A"] and load("10", "B") == ["A", "B"]
+    # The newest version stays the one of load 10, and 9 does not take in its rows.
+    assert load("9", "Z") == ["A", "B"]
+    first = read_table(spark, root, "skills", schemas.SKILLS, only=["9"])
+    assert [r.skill_name for r in first.collect()] == ["Z"]
+
+
+def test_rows_with_null_keys_have_ids_of_their_own(spark, frame, tmp_path):
+    root = str(tmp_path)
+    export = frame(
+        [(None, "1", "x", "T", "c", "u", "Python", None)] * 3 + [("s", None, "x", "T", "c", "u", "SQL", None), ("s", "1", "x", "T", "c", "u", "Go", None)],
+        schemas.JOBS_EXPORT,
+    )
+    for stamp in ("1", "2", "2"):
+        assert row(pipeline.merge_jobs(export, root, stamp, now(1)))[1:] == (0, 5)
+    jobs = read_table(spark, root, "jobs", schemas.JOBS)
+    ids = sorted((r.load_id, r.job_id) for r in jobs.collect())
+    assert len(ids) == 9 and len({i for _, i in ids}) == 9
+    pipeline.merge_jobs(export.repartition(7), root, "2", now(1))
+    again = sorted((r.load_id, r.job_id) for r in read_table(spark, root, "jobs", schemas.JOBS).collect())
+    assert again == ids
+    pipeline.load_catalog(seed_catalog(spark), root, "1", now(1))
+    pipeline.extract_pairs(spark, root, "1")
+    assert row(pipeline.load_pairs(spark, root, "1", now(2))) == (8, 0, 0, 8)
+    assert row(pipeline.load_pairs(spark, root, "2", now(2), export="1")) == (0, 8, 0, 8)
+
+
+def consumed(spark, root):
+    jobs = read_table(spark, root, "jobs", schemas.JOBS)
+    return sorted((r.load_id, r.job_source_id) for r in jobs.collect())
+
+
+def test_each_saved_page_is_consumed_once(spark, folder, tmp_path):
+    import os
+
+    root, pages = str(tmp_path / "root"), str(folder)
+    (folder / "bad.html").write_bytes(b"\xff")
+    (folder / "notes.txt").write_text("no page")
+    (folder / "more").mkdir()
+    save(folder / "more", "job_8", title="H", description="Go")
+    assert row(pipeline.consume_pages(spark, pages, root, "9", now(1))) == (9, 9)
+    assert sorted(os.listdir(folder)) == ["more", "notes.txt"] and not os.listdir(folder / "more")
+    assert consumed(spark, root) == [("9", "1"), ("9", "2"), ("9", "5"), ("9", "8")]
+    assert os.path.exists(f"{pages}_processed/9/more/job_8.html")
+    # Nothing new; then one new page, and one under a name that was used before.
+    assert row(pipeline.consume_pages(spark, pages, root, "10", now(2))) == (0, 0)
+    save(folder, "job_9", title="N", description="Go")
+    save(folder, "job_1", title="again", description="Go")
+    assert row(pipeline.consume_pages(spark, pages, root, "11", now(2))) == (2, 2)
+    assert consumed(spark, root)[0] == ("11", "9") and len(consumed(spark, root)) == 5
+
+
+def test_a_run_that_was_broken_off_is_finished(spark, folder, tmp_path, monkeypatch):
+    import os
+
+    from skillgauge.sources import pages as source
+
+    root, pages = str(tmp_path / "root"), str(folder)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "load_jobs", fail)
+        with pytest.raises(RuntimeError):
+            pipeline.consume_pages(spark, pages, root, "1", now(1))
+    # Files that came since belong to the next run.
+    save(folder, "job_9", title="N", description="Go")
+    with monkeypatch.context() as patch:
+        patch.setattr(source, "move_pages", fail)
+        with pytest.raises(RuntimeError):
+            pipeline.consume_pages(spark, pages, root, "1", now(1))
+    assert len(os.listdir(folder)) == 8
+    assert row(pipeline.consume_pages(spark, pages, root, "2", now(1))) == (1, 1)
+    assert consumed(spark, root) == [("1", "1"), ("1", "2"), ("1", "5"), ("2", "9")]
+    assert not os.listdir(folder)
+
+
+def test_a_page_that_cannot_be_moved_is_not_taken_again(spark, folder, tmp_path):
+    root, pages = str(tmp_path / "root"), str(folder)
+    target = tmp_path / "pages_processed" / "1"
+    target.mkdir(parents=True)
+    (target / "job_1.html").write_text("in the way")
+    assert row(pipeline.consume_pages(spark, pages, root, "1", now(1))) == (7, 6)
+    assert row(pipeline.consume_pages(spark, pages, root, "2", now(1))) == (0, 0)
+    save(folder, "job_1", title="changed", description="Go, Rust and more")
+    assert row(pipeline.consume_pages(spark, pages, root, "3", now(1))) == (1, 1)
