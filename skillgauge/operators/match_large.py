@@ -8,7 +8,7 @@ cannot rule out a longer one: one that starts there is preferred, and one that
 starts before is decided before.)
 """
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from skillgauge.functions.text import WORD
@@ -106,6 +106,26 @@ def _hits(cut: DataFrame, shapes: list[Row], keys: DataFrame) -> DataFrame:
     return found.select(*_JOB, "start", "end", skill.alias("skill_name"))
 
 
+def _resolved(hits: DataFrame) -> DataFrame:
+    """Hits that no earlier or longer one covers.
+
+    Overlapping hits form islands, found by a running maximum, and only an island is
+    folded: work grows with the number of hits, however many a text has.
+    """
+    order = Window.partitionBy(*_JOB).orderBy("start", F.desc("end"))
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= before, F.lit(True)).cast("long")
+    island = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    hit = F.struct("start", (-F.col("end")).alias("minus_end"), "end", "skill_name")
+    return (
+        hits.withColumn("opens", opens)
+        .withColumn("island", island)
+        .groupBy(*_JOB, "island")
+        .agg(_leftmost_longest(F.collect_set(hit)).alias("accepted"))
+        .select(*_JOB, F.explode("accepted.skill_name").alias("skill_name"))
+    )
+
+
 # Most copies of a row that one row of the count stands for.
 _COPIES = 10_000
 
@@ -139,8 +159,7 @@ def match_by_grams(
 ) -> DataFrame:
     """Same result as the pattern method of ``match_pairs``, also for equal rows.
 
-    Texts never move. Only hits of several pieces are collected per text, and a
-    text has no more of them than pieces per shape. The catalog is broadcast when
+    Texts never move. Only hits that overlap are collected. The catalog is broadcast when
     it is small enough and is otherwise joined with salts, as common words are hot
     keys.
     """
@@ -186,30 +205,8 @@ def match_by_grams(
         _pieces(F.col("job_description")).alias("pieces"),
     ).withColumn("is_word", F.transform("pieces", _is_word))
 
-    found = []
-    single = [shape for shape in shapes if shape.n_pieces == 1]
-    longer = [shape for shape in shapes if shape.n_pieces > 1]
-    if longer:
-        hit = F.struct("start", (-F.col("end")).alias("minus_end"), "end", "skill_name")
-        accepted = (
-            _hits(cut, longer, keys)
-            .groupBy(*_JOB)
-            .agg(_leftmost_longest(F.collect_set(hit)).alias("accepted"))
-        )
-        found.append(
-            accepted.select(*_JOB, F.explode("accepted.skill_name").alias("skill_name"))
-        )
-    if single:
-        hits = _hits(cut, single, keys)
-        if longer:
-            covers = accepted.select(*_ROW, "accepted")
-            covered = F.exists(
-                "accepted",
-                lambda h: (h["start"] <= F.col("start")) & (F.col("start") < h["end"]),
-            )
-            hits = hits.join(covers, _ROW, "left").filter(
-                ~F.coalesce(covered, F.lit(False))
-            )
-        found.append(hits.select(*_JOB, "skill_name"))
-    pairs = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    return _for_each_row(pairs, cut)
+    hits = _hits(cut, shapes, keys)
+    # Names of one piece cannot overlap one another.
+    if any(shape.n_pieces > 1 for shape in shapes):
+        hits = _resolved(hits)
+    return _for_each_row(hits.select(*_JOB, "skill_name"), cut)

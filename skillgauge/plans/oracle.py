@@ -383,4 +383,84 @@ idf AS (SELECT (SELECT count(*) FROM documents) AS n,
 SELECT doc_id::VARCHAR AS job_id,
   round(b * ln(n / db) + a * ln(n / da), 6) AS score
 FROM tf, idf WHERE a > 0 AND b > 0"""
+
+    # Loads.
+    sql["html_folder_jobs"] = f"""WITH {_POSTINGS}
+SELECT CASE WHEN lang = 'en' THEN '9' ELSE '10' END AS run, file_name, 'moved' AS status,
+  job_source_id, job_url, CASE WHEN error_reason IS NULL AND lang <> 'de' THEN day END
+  AS posted_date, error_reason, error_reason IS NULL AND lang <> 'de' AS loaded FROM parsed"""
+    sql["replayed_loads"] = f"""WITH {_PAIRS}, loads AS (
+  SELECT CASE WHEN skill_name IN ('of', 'was') THEN '9' ELSE '10' END AS load_id,
+    skill_name FROM pairs WHERE skill_name IN ('of', 'was', 'with', 'The'))
+SELECT load_id, skill_name, count(*) AS n_pairs,
+  CASE load_id WHEN '9' THEN 1 ELSE 2 END::BIGINT AS sequence,
+  sum(count(*)) OVER (PARTITION BY load_id)::BIGINT AS n_rows
+FROM loads GROUP BY load_id, skill_name"""
+    sql["compacted_loads"] = f"""WITH {_PAIRS}
+SELECT category AS load_id, skill_name, count(*) AS n_pairs, 3::BIGINT AS n_moved,
+  3::BIGINT AS n_folders
+FROM pairs WHERE category IN ('article', 'prep', 'verb', 'conj') AND skill_name <> 'of'
+GROUP BY 1, 2"""
+    sql["null_key_loads"] = f"""WITH {_PAIRS}, loads AS (
+  SELECT '1' AS load_id, doc_id FROM documents
+  UNION ALL SELECT '2', doc_id FROM documents
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels)),
+sizes AS (SELECT job_id, count(*) AS n FROM pairs GROUP BY 1)
+SELECT load_id, lang AS country, count(*) AS n_jobs, count(*) AS n_ids,
+  coalesce(sum(n), 0)::BIGINT AS n_pairs, coalesce(sum(n), 0)::BIGINT AS n_pair_keys
+FROM loads JOIN documents USING (doc_id) LEFT JOIN sizes ON job_id = doc_id::VARCHAR
+GROUP BY 1, 2"""
+    sql["catalog_quality"] = """WITH batch AS (
+  SELECT CASE WHEN p_type = 'PROMO' THEN NULL
+    WHEN p_size > 40 THEN rpad(p_name || ' ' || p_partkey, 101, '.')
+    ELSE p_name || ' ' || p_partkey END AS skill_name,
+    CASE WHEN p_size < 5 THEN repeat(p_brand, 10) ELSE p_brand END AS category
+  FROM part)
+SELECT *, CASE WHEN skill_name IS NULL THEN 'missing:skill_name'
+  WHEN length(skill_name) > 100 THEN 'too_long:skill_name'
+  WHEN length(category) > 50 THEN 'too_long:category' END AS error_reason FROM batch"""
+    # Leftmost hits that do not overlap: a fold over the hits of a text in order.
+    parts = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]')"
+    sql["phrase_counts"] = rf"""WITH
+b AS (SELECT {parts} AS p FROM benchmark),
+names AS (
+  SELECT DISTINCT p[i] || ' ' || p[i + 2] AS skill_name
+  FROM b, unnest(range(1, len(p) - 1)) t(i)
+  WHERE p[i + 1] = ' ' AND regexp_matches(p[i], '^[\p{{L}}\p{{N}}_]')
+    AND regexp_matches(p[i + 2], '^[\p{{L}}\p{{N}}_]')),
+d AS (SELECT doc_id, {parts} AS p FROM documents),
+found AS (
+  SELECT doc_id, i, p[i] || ' ' || p[i + 2] AS skill_name
+  FROM d, unnest(range(1, len(p) - 1)) t(i) WHERE p[i + 1] = ' '),
+hits AS (SELECT doc_id, i, skill_name FROM found JOIN names USING (skill_name)),
+folded AS (
+  SELECT doc_id, list_reduce(list({{'s': i, 'e': i + 3, 'n': [skill_name]}} ORDER BY i),
+    lambda a, h: CASE WHEN h.s >= a.e THEN {{'s': a.s, 'e': h.e, 'n': list_concat(a.n, h.n)}}
+      ELSE a END).n AS kept FROM hits GROUP BY 1),
+kept AS (SELECT DISTINCT doc_id, unnest(kept) AS skill_name FROM folded)
+SELECT skill_name, count(*) AS job_count FROM kept GROUP BY 1"""
+    sql["phrase_counts_by_grams"] = sql["phrase_counts"]
+    sql["array_export_pairs"] = sql["skill_pairs"]
+    sql["legacy_jobs"] = f"""WITH cards AS ({sql['listing_cards']}),
+kept AS (
+  SELECT '1' AS load_id, job_url, min(job_title) AS job_title FROM cards
+  WHERE job_url IS NOT NULL GROUP BY 2
+  UNION ALL SELECT load_id, NULL, job_title FROM cards, (VALUES ('1'), ('2')) v(load_id)
+  WHERE job_url IS NULL)
+SELECT load_id, job_url, job_title, 'Argentina' AS location, DATE '2024-01-31' AS scraped_date,
+  count(*) AS n FROM kept GROUP BY ALL"""
+
+    # Streams.
+    sql["stream_dedup"] = f"""WITH {_PAGE_JOBS}
+SELECT source, job_source_id, job_url, page_id FROM page_jobs
+QUALIFY row_number() OVER (PARTITION BY job_source_id ORDER BY
+  CASE WHEN contains(job_url, '/fr/') THEN 0 WHEN contains(job_url, '/de/') THEN 1 ELSE 2 END,
+  page_id) = 1"""
+    sql["downloads_stream"] = sql["downloads_daily"]
+    errors = _DAILY.format(key="user_id::VARCHAR", where="WHERE event_type = 'error'")
+    sql["downloads_filled"] = f"""WITH days AS ({errors}), dates AS (
+  SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY))::DATE AS date FROM days),
+packages AS (SELECT DISTINCT package_id FROM days)
+SELECT package_id, date, coalesce(downloads, 0) AS downloads
+FROM packages CROSS JOIN dates LEFT JOIN days USING (package_id, date)"""
     return sql

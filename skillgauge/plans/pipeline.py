@@ -31,7 +31,8 @@ from skillgauge.sources.files import (
     write_export,
 )
 from skillgauge.sources.pages import consume_folder
-from skillgauge.sources.tables import append_load, read_loads, read_table, table_loads
+from skillgauge.sources.keys import known_keys
+from skillgauge.sources.tables import append_keyed_load, append_load, read_loads, read_table, table_loads
 
 
 def _counts(spark: SparkSession, **counts: int) -> DataFrame:
@@ -91,13 +92,12 @@ def load_jobs(
 
 
 def merge_jobs(export: DataFrame, root: str, stamp: str, now: Column) -> DataFrame:
-    spark = export.sparkSession
     checked = row_errors(export, schemas.JOBS_WIDTHS, dates=["posted_date"])
     good, _ = split_errors(checked)
     rows = stored_values(good, schemas.JOBS_WIDTHS, dates=["posted_date"])
-    target = read_table(spark, root, "jobs", schemas.JOBS, but=stamp)
-    new = absent_rows(rows, target, schemas.JOBS_KEY, rows.columns, id_name="job_id", load=stamp)
-    inserted = append_load(as_unprocessed(new, now), root, "jobs", stamp)
+    known = known_keys(rows, root, "jobs", schemas.JOBS_KEY, but=stamp)
+    new = absent_rows(rows, known, schemas.JOBS_KEY, rows.columns, id_name="job_id", load=stamp)
+    inserted = append_keyed_load(as_unprocessed(new, now), root, "jobs", stamp, schemas.JOBS_KEY)
     return _with_rejected(checked, root, "rejected_jobs", stamp, inserted)
 
 
@@ -125,13 +125,15 @@ def merge_legacy_jobs(
     )
     good, _ = split_errors(checked)
     good = stored_values(good, schemas.LEGACY_JOBS_WIDTHS)
-    target = read_table(spark, root, "legacy_jobs", schemas.LEGACY_JOBS, but=stamp)
+    known = known_keys(good, root, "legacy_jobs", schemas.LEGACY_JOBS_KEY, but=stamp)
     new = absent_rows(
-        good, target, schemas.LEGACY_JOBS_KEY, good.columns, id_name="job_id", load=stamp
+        good, known, schemas.LEGACY_JOBS_KEY, good.columns, id_name="job_id", load=stamp
     )
     at = now.cast("timestamp_ntz")
     stored = new.withColumns({"created_at": at, "updated_at": at})
-    inserted = append_load(stored.select(*table.columns), root, "legacy_jobs", stamp)
+    inserted = append_keyed_load(
+        stored.select(*table.columns), root, "legacy_jobs", stamp, schemas.LEGACY_JOBS_KEY
+    )
     return _with_rejected(checked, root, "rejected_legacy_jobs", stamp, inserted)
 
 

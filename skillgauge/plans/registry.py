@@ -15,9 +15,11 @@ from skillgauge.operators.match_large import match_by_grams
 from skillgauge.plans import pipeline, views
 from skillgauge.plans.views import stored, table, texts
 from skillgauge.session import fresh_path
-from skillgauge.sources import files
+from skillgauge.sources import files, pages
 from skillgauge.sources.seed import seed_catalog
-from skillgauge.sources.tables import append_load, read_table
+from skillgauge.sources.tables import append_load, compact_loads, read_table, table_loads
+from skillgauge.streaming.dedup import first_seen
+from skillgauge.streaming.downloads import count_stream, streamed_downloads, with_missing_days
 from skillgauge.streaming.ingest import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -574,3 +576,243 @@ def filtered_jobs(spark, sf_dir):
 @query
 def searched_jobs(spark, sf_dir):
     return trends.search_jobs(views.job_texts(spark, sf_dir), ["the", "Rest"])
+
+
+# --- loads ------------------------------------------------------------------
+
+
+@query
+def html_folder_jobs(spark, sf_dir):
+    """The posting pages of ``jsonld_jobs`` as html files in a folder, consumed in three
+    runs: English pages first, the others arrive in a subfolder later, then nothing new.
+    One row per file: the run that read and moved it, and what became of the posting."""
+    root = fresh_path(spark, "folder")
+    folder = f"{root}/pages"
+    postings = views.postings(spark, sf_dir)
+    english = F.col("file_name").startswith("job_")
+    pages.write_folder(postings.where(english), folder)
+    pipeline.consume_pages(spark, folder, root, "9", now())
+    pages.write_folder(postings.where(~english), f"{folder}/more")
+    for run in ("10", "11"):
+        pipeline.consume_pages(spark, folder, root, run, now())
+    taken = read_table(spark, root, "page_files", pages.TAKEN).select("file_path", "file_name", "load_id")
+    moves = read_table(spark, root, "moved_files", pages.MOVED)
+    parsed = spark.read.parquet(f"{root}/parsed").select(
+        F.col("run").cast("string").alias("load_id"), "file_name", "job_source_id", "job_url", "error_reason"
+    )
+    loaded = read_table(spark, root, "jobs", schemas.JOBS).select(
+        "load_id", "job_source_id", "posted_date", F.lit(True).alias("loaded")
+    )
+    return (
+        taken.join(moves, ["file_path", "load_id"])
+        .join(parsed, ["load_id", "file_name"])
+        .join(loaded, ["load_id", "job_source_id"], "left")
+        .select(
+            F.col("load_id").alias("run"), "file_name", "status", "job_source_id", "job_url", "posted_date",
+            "error_reason", F.coalesce("loaded", F.lit(False)).alias("loaded"),
+        )
+    )
+
+
+def _loaded_pairs(spark, root):
+    rows = read_table(spark, root, "job_skills", schemas.JOB_SKILLS)
+    return rows.groupBy("load_id", "skill_name").agg(F.count("*").alias("n_pairs"))
+
+
+@query
+def replayed_loads(spark, sf_dir):
+    """Load "9", load "10", then "9" again with other rows: it keeps its place, and only
+    its new rows count."""
+    root = fresh_path(spark, "replayed")
+    pairs = _job_skills(spark, sf_dir)
+    for load, skills in (("9", ["of", "in", "for"]), ("10", ["with", "The"]), ("9", ["of", "was"])):
+        append_load(pairs.where(F.col("skill_name").isin(skills)), root, "job_skills", load)
+    places = spark.createDataFrame(
+        [(x.load_id, x.sequence, x.n_rows) for x in table_loads(spark, root, "job_skills")],
+        "load_id string, sequence long, n_rows long",
+    )
+    return _loaded_pairs(spark, root).join(F.broadcast(places), "load_id")
+
+
+@query
+def compacted_loads(spark, sf_dir):
+    """A load for each category, all but the newest moved into one folder, then one of
+    them loaded again."""
+    root = fresh_path(spark, "compacted")
+    catalog = views.term_catalog(spark).select("skill_id", "category")
+    pairs = _job_skills(spark, sf_dir).join(F.broadcast(catalog), "skill_id")
+    for category in ("article", "prep", "verb", "conj"):
+        append_load(pairs.where(F.col("category") == category).drop("category"), root, "job_skills", category)
+    moved = compact_loads(spark, root, "job_skills", schemas.JOB_SKILLS)
+    again = pairs.where((F.col("category") == "prep") & (F.col("skill_name") != "of")).drop("category")
+    append_load(again, root, "job_skills", "prep")
+    folders = len({load.folder for load in table_loads(spark, root, "job_skills")})
+    facts = [F.lit(moved).cast("long").alias("n_moved"), F.lit(folders).cast("long").alias("n_folders")]
+    return _loaded_pairs(spark, root).select("*", *facts)
+
+
+@query
+def null_key_loads(spark, sf_dir):
+    """Documents as a batch that is loaded twice, the second time run twice. Unlabelled
+    ones have no source id, so they equal no stored job and are loaded each time."""
+    root = fresh_path(spark, "nullkeys")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("labelled"))
+    docs = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    export = docs.select(
+        "source",
+        F.when(F.col("labelled"), F.col("doc_id").cast("string")).alias("job_source_id"),
+        F.col("lang").alias("country"),
+        F.concat_ws(" ", "source", "lang").alias("job_title"),
+        F.col("source").alias("company_name"),
+        F.lit(None).cast("string").alias("job_url"),
+        F.col("text").alias("job_description"),
+        F.lit(None).cast("string").alias("posted_date"),
+    )
+    for load in ("1", "2", "2"):
+        pipeline.merge_jobs(export, root, load, now())
+    pipeline.load_catalog(views.term_catalog(spark).drop("skill_id"), root, "1", now())
+    pipeline.extract_pairs(spark, root, "1")
+    pipeline.load_pairs(spark, root, "1", now())
+    jobs = read_table(spark, root, "jobs", schemas.JOBS).select("load_id", "job_id", "country")
+    stored = read_table(spark, root, "job_skills", schemas.JOB_SKILLS).select("job_id", "skill_id")
+    n_pairs = stored.groupBy("job_id").agg(F.count("*").alias("n"), F.countDistinct("skill_id").alias("n_keys"))
+    # Each id counts once, so a job id that two rows shared would show.
+    per_id = jobs.groupBy("job_id").agg(
+        F.min("load_id").alias("load_id"), F.min("country").alias("country"), F.count("*").alias("n_jobs")
+    )
+    none = F.lit(0)
+    return per_id.join(n_pairs, "job_id", "left").groupBy("load_id", "country").agg(
+        F.sum("n_jobs").alias("n_jobs"), F.count("*").alias("n_ids"),
+        F.sum(F.coalesce("n", none)).alias("n_pairs"), F.sum(F.coalesce("n_keys", none)).alias("n_pair_keys"),
+    )
+
+
+@query
+def catalog_quality(spark, sf_dir):
+    """Parts as a catalog batch in which some names are missing or too long."""
+    root = fresh_path(spark, "catalog")
+    name = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    batch = table(spark, sf_dir, "part").select(
+        F.when(F.col("p_type") == "PROMO", None)
+        .when(F.col("p_size") > 40, F.rpad(name, 101, "."))
+        .otherwise(name)
+        .alias("skill_name"),
+        F.when(F.col("p_size") < 5, F.repeat("p_brand", 10)).otherwise(F.col("p_brand")).alias("category"),
+    )
+    pipeline.load_catalog(batch, root, "1", now())
+    good = pipeline.current_catalog(spark, root).select(
+        "skill_name", "category", F.lit(None).cast("string").alias("error_reason")
+    )
+    schema = "skill_name string, category string, error_reason string"
+    bad = read_table(spark, root, "rejected_skills", schema).drop("load_id")
+    return good.unionByName(bad)
+
+
+def _phrase_catalog(spark, sf_dir):
+    """Every two neighbouring words of the benchmark texts as a skill."""
+
+    def build():
+        parts = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"), F.lit(0))
+        rows = table(spark, sf_dir, "benchmark").select(parts.alias("parts"))
+        at = F.sequence(F.lit(1), F.size("parts") - 2)
+        runs = F.transform(F.when(F.size("parts") > 2, at), lambda i: F.slice("parts", i, 3))
+        is_phrase = (F.col("run")[1] == " ") & F.col("run")[0].rlike(r"^[\p{L}\p{N}_]") & F.col("run")[2].rlike(r"^[\p{L}\p{N}_]")
+        phrases = rows.select(F.explode(runs).alias("run")).where(is_phrase)
+        return phrases.select(F.array_join("run", "").alias("skill_name")).distinct().select(
+            "skill_name",
+            F.lit("phrase").alias("category"),
+            F.array().cast("array<string>").alias("tags"),
+            F.array().cast("array<string>").alias("variants"),
+        )
+
+    return stored(spark, sf_dir, "phrase_catalog", build)
+
+
+@query
+def phrase_counts(spark, sf_dir):
+    jobs, catalog = views.job_texts(spark, sf_dir), _phrase_catalog(spark, sf_dir)
+    return analytics.jobs_per_skill(match_pairs(jobs, catalog))
+
+
+@query
+def phrase_counts_by_grams(spark, sf_dir):
+    """As ``phrase_counts``, by the method for catalogs too large for a pattern."""
+    jobs, catalog = views.job_texts(spark, sf_dir), _phrase_catalog(spark, sf_dir)
+    return analytics.jobs_per_skill(match_by_grams(jobs, catalog))
+
+
+@query
+def array_export_pairs(spark, sf_dir):
+    """Pairs in files of one JSON array each, read back."""
+    path = fresh_path(spark, "arrays")
+    files.write_array_export(_job_skills(spark, sf_dir).select("job_id", "job_title", "skill_name"), path)
+    return files.read_array_export(spark, path, schemas.PAIRS_EXPORT)
+
+
+@query
+def legacy_jobs(spark, sf_dir):
+    """The cards of ``listing_cards`` loaded twice: one job per address."""
+    root = fresh_path(spark, "legacy")
+    cards = listing_cards(spark, sf_dir)
+    for load in ("1", "2"):
+        pipeline.merge_legacy_jobs(cards, root, load, now())
+    rows = read_table(spark, root, "legacy_jobs", schemas.LEGACY_JOBS)
+    return rows.groupBy("load_id", "job_url", "job_title", "location", "scraped_date").agg(F.count("*").alias("n"))
+
+
+# --- streams ------------------------------------------------------------------
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Page jobs that arrive in three batches: French addresses, then German ones, then
+    the rest. The first one of each source id is kept."""
+    root = fresh_path(spark, "arrivals")
+    jobs = _page_jobs(spark, sf_dir)
+    turn = F.when(F.col("job_url").contains("/fr/"), 0).when(F.col("job_url").contains("/de/"), 1).otherwise(2)
+    for arrival in range(3):
+        jobs.where(turn == arrival).write.mode("append").parquet(f"{root}/in")
+        first = first_seen(
+            spark.readStream.schema(jobs.schema).parquet(f"{root}/in"), ["source", "job_source_id"], ["page_id"]
+        )
+
+        def store(batch, batch_id):
+            append_load(batch, root, "first", f"{batch_id:012d}")
+
+        (
+            first.writeStream.foreachBatch(store)
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    kept = read_table(spark, root, "first", "source string, job_source_id string, job_url string, page_id long")
+    return kept.drop("load_id")
+
+
+def _streamed_days(spark, sf_dir):
+    """Download events that arrive month by month."""
+
+    def build():
+        root = fresh_path(spark, "downloads")
+        log = views.downloads_log(spark, sf_dir).select("package_id", F.col("ts").cast("timestamp").alias("ts"))
+        months = [r.month for r in log.select(F.date_trunc("month", "ts").alias("month")).distinct().orderBy("month").collect()]
+        for month in months:
+            log.where(F.date_trunc("month", "ts") == F.lit(month)).write.mode("append").parquet(f"{root}/in")
+            arrived = spark.readStream.schema(log.schema).parquet(f"{root}/in")
+            count_stream(arrived, root, f"{root}/checkpoint").awaitTermination()
+        return streamed_downloads(spark, root, now())
+
+    return stored(spark, sf_dir, "streamed_days", build)
+
+
+@query
+def downloads_stream(spark, sf_dir):
+    """As ``downloads_daily``, counted while the events arrive."""
+    return _streamed_days(spark, sf_dir)
+
+
+@query
+def downloads_filled(spark, sf_dir):
+    log, at = _daily_by_user(spark, sf_dir, "2024-02-01 00:00:00")
+    return with_missing_days(trends.daily_downloads(log.where(F.col("event_type") == "error"), at))

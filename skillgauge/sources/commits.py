@@ -7,7 +7,8 @@ one step. Each commit is one small file; two writers that commit at the same tim
 collide on its name and the second one fails.
 
 A log row says which ``folder`` holds the rows of a load, and its ``sequence``: the
-number the load got when it was first committed, which a repeat keeps.
+number the load got when it was first committed, which a repeat keeps. ``attempt`` names
+the write itself and stays when the rows are moved to another folder.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import astuple, dataclass, replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-LOG = "version long, sequence long, load_id string, folder string, n_rows long"
+LOG = "version long, sequence long, load_id string, folder string, n_rows long, attempt string"
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,7 @@ class Load:
     load_id: str
     folder: str
     n_rows: int
+    attempt: str
 
 
 def read_log(spark: SparkSession, path: str) -> list[Load]:
@@ -51,7 +53,7 @@ def next_load(log: list[Load], load_id: str, folder: str, n_rows: int = 0) -> Lo
     version = max((load.version for load in log), default=0) + 1
     last = max((load.sequence for load in log), default=0)
     known = {load.load_id: load.sequence for load in log}
-    return Load(version, known.get(load_id, last + 1), load_id, folder, n_rows)
+    return Load(version, known.get(load_id, last + 1), load_id, folder, n_rows, folder)
 
 
 def moved_loads(log: list[Load], loads: list[Load], folder: str) -> list[Load]:

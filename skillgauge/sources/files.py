@@ -118,6 +118,18 @@ def latest_export(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return read_export(spark, root, schema, latest_stamp(spark, root))
 
 
+def write_array_export(df: DataFrame, path: str, rows: int = 10_000) -> None:
+    """Files of one JSON array each, with at most ``rows`` objects. Null fields are
+    written."""
+    number = F.monotonically_increasing_id()
+    cut = df.select(F.struct("*").alias("row"), number.alias("at"))
+    # The upper part of the number is the task's, so an array never spans two tasks.
+    part, block = F.shiftright("at", 33), F.floor(F.col("at").bitwiseAND(2**33 - 1) / rows)
+    packed = cut.groupBy(part.alias("part"), block.alias("block")).agg(F.collect_list("row").alias("rows"))
+    line = F.to_json("rows", {"ignoreNullFields": "false"})
+    packed.select(line.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def read_array_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Export files that hold one JSON array of objects each."""
     return spark.read.schema(schema).option("multiLine", "true").json(path)

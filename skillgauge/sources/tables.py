@@ -45,6 +45,19 @@ def append_load(df: DataFrame, root: str, table: str, load_id: str) -> int:
     return seen.get["n"]
 
 
+def append_keyed_load(df: DataFrame, root: str, table: str, load_id: str, keys: list[str]) -> int:
+    """``append_load`` for a table whose keys later batches are compared with."""
+    from skillgauge.sources.keys import store_keys
+
+    spark, path, folder = df.sparkSession, _log(root, table), uuid.uuid4().hex
+    rows, seen = counted(df.withColumn("load_id", F.lit(load_id)))
+    rows.write.parquet(f"{root}/{table}/{folder}")
+    written = spark.read.schema(rows.schema).parquet(f"{root}/{table}/{folder}")
+    store_keys(written, root, table, keys, folder)
+    commit(spark, path, [next_load(read_log(spark, path), load_id, folder, seen.get["n"])])
+    return seen.get["n"]
+
+
 def table_loads(spark: SparkSession, root: str, table: str) -> list[Load]:
     """The loads of a table in the order in which they were first made."""
     return live_loads(read_log(spark, _log(root, table)))

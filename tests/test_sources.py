@@ -131,9 +131,9 @@ def test_loads_keep_their_place_when_repeated(spark, frame, tmp_path):
 def test_two_writers_of_one_commit_collide(spark, tmp_path):
     from skillgauge.sources.commits import Load, commit
 
-    commit(spark, str(tmp_path / "log"), [Load(1, 1, "a", "f", 0)])
+    commit(spark, str(tmp_path / "log"), [Load(1, 1, "a", "f", 0, "f")])
     with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
-        commit(spark, str(tmp_path / "log"), [Load(1, 1, "b", "g", 0)])
+        commit(spark, str(tmp_path / "log"), [Load(1, 1, "b", "g", 0, "g")])
 
 
 def test_compacted_loads(spark, frame, tmp_path):
@@ -183,3 +183,43 @@ def test_page_folders(spark, folder, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, given.collect()))
     parts = spark.read.format("saved_pages").option("partBytes", 10 * 2**16).load(out)
     assert parts.rdd.getNumPartitions() == 5
+
+
+def test_stored_keys_meet_a_batch_without_moving(spark, frame, tmp_path):
+    from skillgauge.sources.keys import known_keys
+    from skillgauge.sources.tables import append_keyed_load
+
+    root, keys, schema = str(tmp_path), ["a", "b"], "a string, b string"
+
+    def load(rows, name):
+        append_keyed_load(frame(rows, schema), root, "t", name, keys)
+
+    batch = frame([("x", "1"), ("x", "1"), ("x", "2"), (None, "1"), ("y", None), ("z", "9")], schema)
+    assert known_keys(batch, root, "t", keys).count() == 0
+    load([("x", "1"), (None, "1")], "1")
+    load([("z", "9"), ("q", "q")], "2")
+    known = known_keys(batch, root, "t", keys)
+    assert sorted(map(tuple, known.collect())) == [("x", "1"), ("z", "9")]
+    assert sorted(map(tuple, known_keys(batch, root, "t", keys, but="2").collect())) == [("x", "1")]
+    # The stored side is read in its buckets: what is above its scan is no exchange.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "5")
+        plan = known_keys(batch, root, "t", keys)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    at = next(i for i, line in enumerate(plan) if "Bucketed: true" in line)
+    above, depth = [], plan[at].index("- ")
+    for line in reversed(plan[:at]):
+        if "- " in line and line.index("- ") < depth:
+            depth = line.index("- ")
+            above.append(line)
+            if "Join" in line:
+                break
+    assert "Join" in above[-1] and not [line for line in above if "Exchange" in line]
+    # A load that is replaced gives its keys up; moving rows does not.
+    load([("x", "2")], "1")
+    assert sorted(map(tuple, known_keys(batch, root, "t", keys).collect())) == [("x", "2"), ("z", "9")]
+    compact_loads(spark, root, "t", schema, keep=0)
+    assert sorted(map(tuple, known_keys(batch, root, "t", keys).collect())) == [("x", "2"), ("z", "9")]
