@@ -122,20 +122,34 @@ def match_pairs(
     naming stay inside the row: no join and no shuffle. A larger catalog is
     joined on n-grams, with the same result: equal job rows get their pairs each.
     """
+    sets = _pattern_sets(jobs, catalog, match_variants, pattern_names)
+    if sets is None:
+        return match_by_grams(jobs, catalog, match_variants)
+    return sets.select("job_id", "job_title", F.explode("skills").alias("skill_name"))
+
+
+def match_sets(jobs: DataFrame, catalog: DataFrame, match_variants: bool = False) -> DataFrame:
+    """``(job_id, job_title, skills)``: one row per job row with the array of its skills.
+    Narrow; for catalogs of at most ``PATTERN_NAMES`` names."""
+    sets = _pattern_sets(jobs, catalog, match_variants, PATTERN_NAMES)
+    if sets is None:
+        raise ValueError(f"sets are matched with at most {PATTERN_NAMES} names")
+    return sets
+
+
+def _pattern_sets(
+    jobs: DataFrame, catalog: DataFrame, match_variants: bool, pattern_names: int
+) -> DataFrame | None:
+    """Skills of each job row by one pattern; None if the catalog is too large."""
     rows = surfaces(catalog, match_variants).limit(pattern_names + 1).collect()
     if len(rows) > pattern_names:
-        return match_by_grams(jobs, catalog, match_variants)
+        return None
     searched = [row.surface for row in rows if row.searched]
     if not searched:
-        return jobs.select(
-            "job_id", "job_title", F.lit(None).cast("string").alias("skill_name")
-        ).limit(0)
+        none = F.array().cast("array<string>").alias("skills")
+        return jobs.select("job_id", "job_title", none)
     names = {row.lower: row.skill_name for row in rows}
     found = F.regexp_extract_all(
         "job_description", F.lit(build_pattern(searched)), F.lit(0)
     )
-    return jobs.select(
-        "job_id",
-        "job_title",
-        F.explode(_canonical(found, names)).alias("skill_name"),
-    )
+    return jobs.select("job_id", "job_title", _canonical(found, names).alias("skills"))

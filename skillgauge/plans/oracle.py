@@ -463,4 +463,19 @@ QUALIFY row_number() OVER (PARTITION BY job_source_id ORDER BY
 packages AS (SELECT DISTINCT package_id FROM days)
 SELECT package_id, date, coalesce(downloads, 0) AS downloads
 FROM packages CROSS JOIN dates LEFT JOIN days USING (package_id, date)"""
+
+    # State kept between reports.
+    sql["top_skills_incremental"] = sql["top_skills"]
+    sql["frequent_pairs"] = f"""WITH {_PAIRS}, n AS (SELECT count(*) AS total FROM documents),
+both_ AS (SELECT a.skill_name AS skill_a, b.skill_name AS skill_b, count(*) AS job_count
+  FROM pairs a JOIN pairs b ON a.job_id = b.job_id AND a.skill_name < b.skill_name GROUP BY 1, 2)
+SELECT skill_a, skill_b, both_.job_count, round(both_.job_count / total, 6) AS support,
+  round(both_.job_count::DOUBLE * total / (x.job_count * y.job_count), 6) AS lift
+FROM both_ JOIN counts x ON x.skill_name = skill_a JOIN counts y ON y.skill_name = skill_b, n
+WHERE both_.job_count / total >= 0.01"""
+    sql["indexed_search"] = f"""SELECT * FROM ({sql['searched_jobs']})
+ORDER BY score DESC, job_id LIMIT 20"""
+    sql["cascade_packages"] = f"""SELECT package_id, date, downloads FROM ({_USER_DAILY})
+WHERE package_id NOT IN (SELECT c_custkey::VARCHAR FROM customer WHERE c_mktsegment = 'BUILDING')
+  AND day(date) <> 1"""
     return sql

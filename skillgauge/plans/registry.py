@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from skillgauge import schemas
 from skillgauge.functions.ids import stable_id
 from skillgauge.functions.text import with_html_text
-from skillgauge.operators import analytics, dom, extract, merge, quality, trends
+from skillgauge.operators import analytics, bitmaps, constraints, dom, extract, merge, quality, search_index, trends
 from skillgauge.operators.catalog import upsert_catalog
-from skillgauge.operators.match import match_pairs, unprocessed
+from skillgauge.operators.frequent import frequent_pairs as pairs_with_support
+from skillgauge.operators.match import match_pairs, match_sets, unprocessed
 from skillgauge.operators.match_large import match_by_grams
 from skillgauge.plans import pipeline, views
 from skillgauge.plans.views import stored, table, texts
@@ -581,20 +582,22 @@ def searched_jobs(spark, sf_dir):
 # --- loads ------------------------------------------------------------------
 
 
+# Subfolders that the pages are dealt into.
+_FAN = 256
+
+
 @query
 def html_folder_jobs(spark, sf_dir):
-    """The posting pages of ``jsonld_jobs`` as html files in a folder, consumed in three
-    runs: English pages first, the others arrive in a subfolder later, then nothing new.
-    One row per file: the run that read and moved it, and what became of the posting."""
+    """The posting pages of ``jsonld_jobs`` as html files in subfolders, consumed in two
+    runs: English pages first, the others arrive later. One row per file: the run that read and moved it, and what became of the posting."""
     root = fresh_path(spark, "folder")
     folder = f"{root}/pages"
     postings = views.postings(spark, sf_dir)
     english = F.col("file_name").startswith("job_")
-    pages.write_folder(postings.where(english), folder)
+    pages.write_folder(postings.where(english), folder, fan=_FAN)
     pipeline.consume_pages(spark, folder, root, "9", now())
-    pages.write_folder(postings.where(~english), f"{folder}/more")
-    for run in ("10", "11"):
-        pipeline.consume_pages(spark, folder, root, run, now())
+    pages.write_folder(postings.where(~english), folder, fan=_FAN)
+    pipeline.consume_pages(spark, folder, root, "10", now())
     taken = read_table(spark, root, "page_files", pages.TAKEN).select("file_path", "file_name", "load_id")
     moves = read_table(spark, root, "moved_files", pages.MOVED)
     parsed = spark.read.parquet(f"{root}/parsed").select(
@@ -816,3 +819,58 @@ def downloads_stream(spark, sf_dir):
 def downloads_filled(spark, sf_dir):
     log, at = _daily_by_user(spark, sf_dir, "2024-02-01 00:00:00")
     return with_missing_days(trends.daily_downloads(log.where(F.col("event_type") == "error"), at))
+
+
+# --- state kept between reports -------------------------------------------------
+
+
+@query
+def top_skills_incremental(spark, sf_dir):
+    """As ``top_skills``, from bitmaps that are brought up to date after each of three
+    loads. The last load repeats pairs of the first one, and the second is run again."""
+    root = fresh_path(spark, "reports")
+    pairs = _job_skills(spark, sf_dir)
+    is_prep = F.col("skill_name").isin("of", "in", "for")
+    loads = [("1", is_prep), ("2", F.lit(True)), ("2", ~is_prep), ("3", F.col("skill_name").isin("of", "with"))]
+    for load, chosen in loads:
+        append_load(pairs.where(chosen), root, "job_skills", load)
+        bitmaps.update_bitmaps(spark, root, schemas.JOB_SKILLS, F.col("job_id").cast("long"))
+    return bitmaps.top_skills(spark, root)
+
+
+@query
+def frequent_pairs(spark, sf_dir):
+    """All pairs of terms that a hundredth of the documents hold."""
+    sets = match_sets(views.job_texts(spark, sf_dir), views.term_catalog(spark)).select("skills")
+    return pairs_with_support(sets, [name for name, _, _ in views.TERMS], 0.01)
+
+
+_BLOCKS = 256
+
+
+@query
+def indexed_search(spark, sf_dir):
+    """The 20 best of ``searched_jobs`` from an inverted index."""
+    jobs = views.job_texts(spark, sf_dir).select("job_id", "job_description")
+    index = stored(spark, sf_dir, "search_index", lambda: search_index.build_index(jobs, _BLOCKS))
+    found = search_index.search(index, ["the", "Rest"], jobs.count(), 20, _BLOCKS)
+    return found.select("job_id", F.round("score", 6).alias("score"))
+
+
+@query
+def cascade_packages(spark, sf_dir):
+    """Customers as packages, their events as downloads, one after the other deleted:
+    those of one segment, and one day of downloads."""
+    log, at = _daily_by_user(spark, sf_dir, "2024-02-01 00:00:00")
+    packages = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("package_id"), F.col("c_mktsegment").alias("category")
+    )
+    downloads = trends.daily_downloads(log, at)
+    left = constraints.delete_rows(
+        {"packages": packages, "package_downloads": downloads},
+        {
+            "packages": packages.where(F.col("category") == "BUILDING").select("package_id"),
+            "package_downloads": downloads.where(F.dayofmonth("date") == 1).select("download_id"),
+        },
+    )
+    return left["package_downloads"].select("package_id", "date", "downloads")

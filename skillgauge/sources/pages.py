@@ -2,9 +2,10 @@
 
 ``spark.read.format("saved_pages").load(folder)`` gives one row per page file below the
 folder, with its name, size and time; ``.write.format("saved_pages").save(folder)``
-saves rows of (file_name, html) as files. The driver lists only the top of a folder:
-each subfolder is listed and read by a task of its own, and files at the top are dealt
-out by size. Files are opened by ``pyarrow.fs``: local paths, ``hdfs://``, ``s3://``.
+saves rows of (file_name, html) as files, with ``fan`` dealt into that many subfolders.
+The driver lists only the top of a folder: subfolders are listed by the tasks that read
+them, and files at the top are dealt out by size. Keep large folders in subfolders, as
+``fan`` does; then no list of files is held anywhere. Files are opened by ``pyarrow.fs``: local paths, ``hdfs://``, ``s3://``.
 
 ``consume_folder`` reads what is new in a folder, hands it on, and moves it away. A run
 first copies the new pages into a table, which is its input from then on, then hands them
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -41,6 +43,7 @@ SUFFIX = ".html"
 #: file counts as ``OPEN_BYTES``, for the time it takes to open it.
 PART_BYTES = 64 * 2**20
 OPEN_BYTES = 64 * 2**10
+PARTS = 64
 
 TAKEN = "file_path string, file_name string, size long, modified timestamp_ntz, html string"
 MOVED = "file_path string, status string"
@@ -59,47 +62,56 @@ def file_system(path: str):
 
 @dataclass
 class _Part(InputPartition):
-    """A subfolder to list and read, or files to read."""
+    """Subfolders to list and read, or names of files at the top to read."""
 
-    folder: str | None
+    folders: list[str]
     files: list[str]
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, folder: str, part_bytes: int):
-        self.folder, self.part_bytes = folder, part_bytes
+    def __init__(self, folder: str, parts: int, part_bytes: int):
+        self.folder, self.parts, self.part_bytes = folder, parts, part_bytes
 
     def partitions(self) -> list[_Part]:
         from pyarrow import fs
 
         system, top = file_system(self.folder)
-        parts, files, held = [], [], 0
-        for info in sorted(system.get_file_info(fs.FileSelector(top)), key=lambda i: i.path):
+        parts, folders, files, held = [], [], [], 0
+        for info in system.get_file_info(fs.FileSelector(top)):
             if info.type == fs.FileType.Directory and not info.base_name.startswith((".", "_")):
-                parts.append(_Part(info.path, []))
+                folders.append(info.base_name)
             elif info.is_file and info.base_name.endswith(SUFFIX):
-                files.append(info.path)
+                files.append(info.base_name)
                 held += max(info.size, OPEN_BYTES)
                 if held >= self.part_bytes:
-                    parts.append(_Part(None, files))
+                    parts.append(_Part([], files))
                     files, held = [], 0
-        return [*parts, _Part(None, files)] if files else parts or [_Part(None, [])]
+        if files:
+            parts.append(_Part([], files))
+        folders.sort()
+        parts += [_Part(folders[no :: self.parts], []) for no in range(min(self.parts, len(folders)))]
+        return parts or [_Part([], [])]
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        system, _ = file_system(self.folder)
-        if partition.folder is not None:
-            below = system.get_file_info(fs.FileSelector(partition.folder, recursive=True))
-            infos = [i for i in below if i.is_file and i.base_name.endswith(SUFFIX)]
-        else:
-            infos = [i for i in system.get_file_info(partition.files) if i.is_file] if partition.files else []
+        system, top = file_system(self.folder)
+
+        def found():
+            for name in partition.folders:
+                for info in system.get_file_info(fs.FileSelector(f"{top}/{name}", recursive=True)):
+                    if info.is_file and info.base_name.endswith(SUFFIX):
+                        yield info
+            for first in range(0, len(partition.files), 1024):
+                names = partition.files[first : first + 1024]
+                yield from (i for i in system.get_file_info([f"{top}/{n}" for n in names]) if i.is_file)
+
         schema = pa.schema([
             ("file_path", pa.string()), ("file_name", pa.string()), ("size", pa.int64()),
             ("modified", pa.timestamp("us")), ("content", pa.binary()),
         ])
         rows, held = [], 0
-        for info in infos:
+        for info in found():
             with system.open_input_stream(info.path) as stream:
                 content = stream.read()
             changed = info.mtime.replace(tzinfo=None) if info.mtime else None
@@ -121,24 +133,30 @@ class _Writer(DataSourceWriter):
     """Each task writes its pages under their own names. A file appears under its name
     only when it is whole, and a task that is run again writes the same files."""
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, fan: int):
+        self.folder, self.fan = folder, fan
 
     def write(self, rows: Iterator) -> _Written:
         system, top = file_system(self.folder)
-        system.create_dir(top, recursive=True)
-        n = 0
+        n, made = 0, set()
         for row in rows:
-            partial = f"{top}/_{uuid.uuid4().hex}"
+            name = row["file_name"]
+            folder = f"{top}/{zlib.crc32(name.encode()) % self.fan:05d}" if self.fan else top
+            if folder not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
+            partial = f"{folder}/_{uuid.uuid4().hex}"
             with system.open_output_stream(partial) as stream:
                 stream.write((row["html"] or "").encode())
-            system.move(partial, f"{top}/{row['file_name']}")
+            system.move(partial, f"{folder}/{name}")
             n += 1
         return _Written(n)
 
 
 class SavedPages(DataSource):
-    """Options: ``path``, the folder; ``partBytes``, bytes a task."""
+    """Options: ``path``, the folder; reading: ``parts``, tasks for all subfolders
+    together, and ``partBytes``, bytes a task for files at the top; writing: ``fan``,
+    subfolders to deal the files into."""
 
     @classmethod
     def name(cls) -> str:
@@ -148,27 +166,29 @@ class SavedPages(DataSource):
         return PAGES
 
     def reader(self, schema) -> _Reader:
-        return _Reader(self.options["path"], int(self.options.get("partbytes", PART_BYTES)))
+        parts, part_bytes = self.options.get("parts", PARTS), self.options.get("partbytes", PART_BYTES)
+        return _Reader(self.options["path"], int(parts), int(part_bytes))
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         if overwrite:
             raise ValueError("saved pages are added to a folder, never replaced")
-        return _Writer(self.options["path"])
+        return _Writer(self.options["path"], int(self.options.get("fan", 0)))
 
 
 def read_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Page files below ``folder``: path, name, size, time and text; a file that is not
     UTF-8 has a null text."""
     spark.dataSource.register(SavedPages)
-    files = spark.read.format(FORMAT).load(folder)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    files = spark.read.format(FORMAT).option("parts", parts).load(folder)
     text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content"))
     return files.select("file_path", "file_name", "size", "modified", newline_normalised(text.cast("string")).alias("html"))
 
 
-def write_folder(pages: DataFrame, folder: str) -> None:
-    """Save pages (file_name, html) as files. Names must differ."""
+def write_folder(pages: DataFrame, folder: str, fan: int = 0) -> None:
+    """Save pages (file_name, html) as files, in ``fan`` subfolders. Names must differ."""
     pages.sparkSession.dataSource.register(SavedPages)
-    pages.select("file_name", "html").write.format(FORMAT).mode("append").save(folder)
+    pages.select("file_name", "html").write.format(FORMAT).option("fan", fan).mode("append").save(folder)
 
 
 def _move_file(path: str, top: str, target: str) -> str:

@@ -183,6 +183,11 @@ def test_page_folders(spark, folder, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, given.collect()))
     parts = spark.read.format("saved_pages").option("partBytes", 10 * 2**16).load(out)
     assert parts.rdd.getNumPartitions() == 5
+    fanned = str(tmp_path / "fanned")
+    pages.write_folder(given.repartition(4), fanned, fan=7)
+    assert len(os.listdir(fanned)) == 7
+    got = pages.read_folder(spark, fanned).select("file_name", "html")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, given.collect()))
 
 
 def test_stored_keys_meet_a_batch_without_moving(spark, frame, tmp_path):
