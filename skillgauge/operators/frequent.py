@@ -53,11 +53,13 @@ def pair_counts(sets: DataFrame, names: list[str]) -> DataFrame:
     return sets.mapInArrow(count, COUNTS).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def frequent_pairs(sets: DataFrame, names: list[str], min_support: float) -> DataFrame:
+def frequent_pairs(sets: DataFrame, names: list[str], min_support: float, path: str) -> DataFrame:
     """Pairs of names that at least ``min_support`` of all jobs hold: ``skill_a`` before
-    ``skill_b`` by code point, ``job_count``, ``support``, ``lift``."""
+    ``skill_b`` by code point, ``job_count``, ``support``, ``lift``. The counts are kept
+    at ``path``, so that the jobs are read once."""
     names = sorted(set(names))
-    counts = pair_counts(sets, names)
+    pair_counts(sets, names).write.parquet(path)
+    counts = sets.sparkSession.read.parquet(path)
     # One row for each name of the catalog, and one for all jobs.
     singles = counts.where("a = b").select("a", F.col("n").alias("single"))
     label = F.element_at(F.lit(names), F.col("a") + 1) if names else F.lit(None).cast("string")

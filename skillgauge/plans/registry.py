@@ -842,7 +842,8 @@ def top_skills_incremental(spark, sf_dir):
 def frequent_pairs(spark, sf_dir):
     """All pairs of terms that a hundredth of the documents hold."""
     sets = match_sets(views.job_texts(spark, sf_dir), views.term_catalog(spark)).select("skills")
-    return pairs_with_support(sets, [name for name, _, _ in views.TERMS], 0.01)
+    names = [name for name, _, _ in views.TERMS]
+    return pairs_with_support(sets, names, 0.01, fresh_path(spark, "pair_counts"))
 
 
 _BLOCKS = 256

@@ -39,17 +39,17 @@ def test_bitmaps_follow_loads(spark, frame, tmp_path):
     assert [r.skill_name for r in bitmaps.top_skills(spark, root, 2).collect()] == ["a", "b"]
 
 
-def test_pairs_by_count_matrix(spark):
+def test_pairs_by_count_matrix(spark, tmp_path):
     rng = random.Random(2)
     names = list("abcdef")
     sets = [rng.choices([*names, "unknown"], k=rng.randrange(0, 6)) for _ in range(500)] + [None, []]
-    rows = [tuple(r) for r in frequent_pairs(spark.createDataFrame([(s,) for s in sets], "s array<string>").repartition(5), [*names, "a"], 0.1).collect()]
+    rows = [tuple(r) for r in frequent_pairs(spark.createDataFrame([(s,) for s in sets], "s array<string>").repartition(5), [*names, "a"], 0.1, str(tmp_path / "a")).collect()]
     single = Counter(n for s in sets for n in set(s or []) if n in names)
     both = Counter(p for s in sets for p in itertools.combinations(sorted(set(s or []) & set(names)), 2))
     n = len(sets)
     want = [(a, b, c, round(c / n, 6), round(c * n / (single[a] * single[b]), 6)) for (a, b), c in both.items() if c / n >= 0.1]
     assert sorted(rows) == sorted(want) and rows
-    assert frequent_pairs(spark.createDataFrame([], "s array<string>"), names, 0.1).collect() == []
+    assert frequent_pairs(spark.createDataFrame([], "s array<string>"), names, 0.1, str(tmp_path / "b")).collect() == []
 
 
 def test_search_by_blocks(spark, frame):
