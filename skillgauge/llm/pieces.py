@@ -19,6 +19,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import itemgetter
 
 import ahocorasick
 import pyarrow as pa
@@ -44,15 +46,22 @@ class PrefixEncoder:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)):
                 piece = sp.id_to_piece(i)
                 self.ids[piece], self.scores[piece] = i, sp.get_score(i)
+        # A fixed sample that every known normaliser but identity changes.
+        sample = "ﬁ Ａ²  ｶﾞ\t\n x "
+        if sp.normalize(sample).replace(MARK, " ") != f" {sample}":
+            raise ValueError("the model's normaliser changes texts")
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces cross the cuts of this encoder")
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        # Each piece with the tokens tried before it: whether both stay as they are.
         self.automaton = ahocorasick.Automaton()
+        self.tried: list[dict[str, bool]] = []
+        self.n_tried = 0
         for piece in self.ids:
             if self.merged(piece) == [piece]:
-                self.automaton.add_word(piece, piece)
+                self.tried.append({})
+                self.automaton.add_word(piece, (piece, len(piece), self.tried[-1]))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
         self.chunks: dict[str, tuple[list[int], str]] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -69,36 +78,42 @@ class PrefixEncoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def compatible(self, left: str, right: str) -> bool:
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(left + right) == [left, right]
+    def compatible(self, left: str, right: str, tried: dict[str, bool]) -> bool:
+        if self.n_tried >= KEPT_PAIRS:
+            for table in self.tried:
+                table.clear()
+            self.n_tried = 0
+        self.n_tried += 1
+        known = tried[left] = self.merged(left + right) == [left, right]
         return known
 
     def tokens(self, text: str) -> list[str]:
+        ids = self.ids
         last: list[str] = [""] * (len(text) + 1)
-        found: list[list[str]] = [[] for _ in range(len(text))]
-        for end, piece in self.automaton.iter(text):
-            found[end].append(piece)
-        for end in range(len(text)):
-            for piece in found[end]:
-                before = last[end + 1 - len(piece)]
-                if not before and end + 1 > len(piece):
+        # Ends ascend, so what ends before a piece is settled when the piece is met.
+        for end, (piece, size, tried) in self.automaton.iter(text):
+            if last[end + 1]:
+                continue
+            start = end + 1 - size
+            if start:
+                before = last[start]
+                if not before:
+                    if text[start - 1] in ids:
+                        continue
+                    before = last[start] = text[start - 1]
+                known = tried.get(before)
+                if known is None:
+                    known = self.compatible(before, piece, tried)
+                if not known:
                     continue
-                if not before or self.compatible(before, piece):
-                    last[end + 1] = piece
-                    break
-            else:
-                if text[end] not in self.ids:
-                    last[end + 1] = text[end]
+            last[end + 1] = piece
         out, at = [], len(text)
         while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+            token = last[at] or text[at - 1]
+            out.append(token)
+            at -= len(token)
+        out.reverse()
+        return out
 
     def chunk_ids(self, chunk: str) -> tuple[list[int], str]:
         known = self.chunks.get(chunk)
@@ -118,15 +133,11 @@ class PrefixEncoder:
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """Ids, and the same joined by commas."""
-        ids: list[int] = []
         if not text:
-            return ids, ""
-        names = []
-        for chunk in CHUNK.findall(MARK + text.replace(" ", MARK)):
-            some, name = self.chunk_ids(chunk)
-            ids += some
-            names.append(name)
-        return ids, ",".join(names)
+            return [], ""
+        known = self.chunks.get
+        coded = [known(c) or self.chunk_ids(c) for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        return list(chain.from_iterable(map(itemgetter(0), coded))), ",".join(map(itemgetter(1), coded))
 
 
 @lru_cache(maxsize=1)
@@ -138,32 +149,35 @@ def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def encode_texts(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``ids``, ``decoded`` and digests of each row's whole text.
+OUTPUTS = {
+    "n_tokens": ("long", pa.int64(), lambda ids, name, decoded: len(ids)),
+    "ids": ("array<int>", pa.list_(pa.int32()), lambda ids, name, decoded: ids),
+    "ids_sha256": ("string", pa.string(), lambda ids, name, decoded: sha256(name)),
+    "decoded": ("string", pa.string(), lambda ids, name, decoded: decoded),
+    "decoded_sha256": ("string", pa.string(), lambda ids, name, decoded: sha256(decoded)),
+}
+
 
-    ``model`` is a path that every executor can open.
+def encode_texts(
+    docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", outputs: tuple[str, ...] = tuple(OUTPUTS)
+) -> DataFrame:
+    """``doc_id`` and the ``outputs`` asked for of each row's whole text.
+
+    ``model`` is a path that every executor can open. Columns left out are not built:
+    Spark cannot take them out of a Python step by itself.
     """
+    kinds = [OUTPUTS[name] for name in outputs]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(model)
+        decode = coder.library.decode
         for batch in batches:
             for first in range(0, batch.num_rows, BATCH_TEXTS):
                 part = batch.slice(first, BATCH_TEXTS)
-                coded = [coder.encode(t.as_py() or "") for t in part.column(1)]
-                decoded = [coder.library.decode(ids) if ids else "" for ids, _ in coded]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([len(ids) for ids, _ in coded], pa.int64()),
-                        pa.array([ids for ids, _ in coded], pa.list_(pa.int32())),
-                        pa.array([sha256(name) for _, name in coded], pa.string()),
-                        pa.array(decoded, pa.string()),
-                        pa.array([sha256(t) for t in decoded], pa.string()),
-                    ],
-                    ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"],
-                )
-
-    schema = (
-        "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded string, decoded_sha256 string"
-    )
+                coded = [coder.encode(t or "") for t in part.column(1).to_pylist()]
+                whole = [(ids, name, decode(ids) if ids else "") for ids, name in coded]
+                arrays = [pa.array([make(*row) for row in whole], kind) for _, kind, make in kinds]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["doc_id", *outputs])
+
+    schema = ", ".join(["doc_id long", *(f"{name} {OUTPUTS[name][0]}" for name in outputs)])
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(rows, schema)
