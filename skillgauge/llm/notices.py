@@ -12,6 +12,7 @@ score 0.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,42 +63,66 @@ def scanner(notices: tuple[tuple[str, str], ...]):
     return seeds, checks
 
 
-def all_hits(pattern, joined: str, first: int, last: int) -> Iterator:
-    """Hits that do not overlap. A search gives the best one of its range, so what lies
-    before it is searched too, up to the space between."""
-    ranges = [(first, last)]
-    while ranges:
-        first, last = ranges.pop()
-        if hit := pattern.search(joined, first, last) if first < last else None:
-            yield hit
-            ranges += [(hit.end(), last), (first, hit.start() - 1)]
-
-
 def fuzzy_spans(joined: str, notices=NOTICES) -> list[tuple[int, int, str, int, float]]:
-    """(start, end, label, errors, likeness) of notices in the joined words."""
+    """(start, end, label, errors, likeness) of notices in the joined words.
+
+    Hits of one notice do not overlap; of those that do the one with fewer errors
+    counts, then the earlier. What a hit leaves free of its window is searched again.
+    Windows have a fixed length, so work grows with the number of seeds.
+    """
     seeds, checks = scanner(notices)
-    windows: dict[int, list[list[int]]] = {}
+    windows: list[set[int]] = [set() for _ in notices]
     for end, (size, places) in seeds.iter(joined):
         for no, offset in places:
-            _, length, errors = checks[no]
             # One character more than the match may reach shows whether a word ends there.
-            first = max(end + 1 - size - offset - errors - 1, 0)
-            last = first + length + 3 * errors + 2
-            mine = windows.setdefault(no, [])
-            if mine and mine[-1][0] <= first <= mine[-1][1]:
-                mine[-1][1] = max(mine[-1][1], last)
-            else:
-                mine.append([first, last])
+            windows[no].add(max(end + 1 - size - offset - checks[no][2] - 1, 0))
     found = []
-    for no, mine in windows.items():
-        pattern, length, _ = checks[no]
-        for first, last in mine:
-            for hit in all_hits(pattern, joined, first, min(last, len(joined))):
-                errors = sum(hit.fuzzy_counts)
-                found.append((hit.start(), hit.end(), notices[no][1], errors, 1 - errors / length))
+    for no, firsts in enumerate(windows):
+        pattern, length, errors = checks[no]
+        kept: list[tuple[int, int, int]] = []
+        wanted = [(first, min(first + length + 3 * errors + 2, len(joined))) for first in sorted(firsts)]
+        while wanted:
+            hits = []
+            for first, last in wanted:
+                if hit := pattern.search(joined, first, last) if first < last else None:
+                    hits.append((sum(hit.fuzzy_counts), hit.start(), hit.end(), first, last))
+            taken = len(kept)
+            for wrong, start, end, _, _ in sorted(hits):
+                at = bisect_left(kept, (start, end, 0))
+                after = kept[at][0] if at < len(kept) else len(joined) + 1
+                if (not at or kept[at - 1][1] < start) and end < after:
+                    kept.insert(at, (start, end, wrong))
+            if taken == len(kept):
+                break
+            free = {gap for *_, first, last in hits for gap in _gaps(kept, first, last)}
+            wanted = sorted(gap for gap in free if gap[1] - gap[0] >= length - errors)
+        found += [(a, b, notices[no][1], wrong, 1 - wrong / length) for a, b, wrong in kept]
     return sorted(set(found))
 
 
+def _gaps(kept: list[tuple[int, int, int]], first: int, last: int) -> Iterator[tuple[int, int]]:
+    """The parts of a window that no hit covers, without the space beside a hit."""
+    at = max(bisect_left(kept, (first, 0, 0)) - 1, 0)
+    while at < len(kept) and kept[at][0] < last:
+        start, end, _ = kept[at]
+        if end > first:
+            if start > first:
+                yield first, start - 1
+            first = end
+        at += 1
+    yield first, last
+
+
+def _word_numbers(joined: str, places: set[int]) -> dict[int, int]:
+    """The number of the word at each place, counting once over the text."""
+    numbers, counted, no = {}, 0, 0
+    for place in sorted(places):
+        no += joined.count(" ", counted, place)
+        counted = place
+        numbers[place] = no
+    return numbers
+
+
 def scan(text: str, notices=NOTICES) -> dict:
     words = WORD.findall(text.translate(LOWER))
     joined = " ".join(words)
@@ -113,6 +138,7 @@ def scan(text: str, notices=NOTICES) -> dict:
             at = ringed.find(f" {phrase} ", at + 1)
     spans = fuzzy_spans(joined, notices)
     labels = base | {label for _, _, label, _, _ in spans}
+    ordinal = _word_numbers(joined, {place for a, b, *_ in spans for place in (a, b)})
     return {
         "n_words": len(words),
         "n_base": len(places),
@@ -122,7 +148,7 @@ def scan(text: str, notices=NOTICES) -> dict:
         "labels": ",".join(sorted(labels)),
         "score": 1.0 if base else max((likeness for *_, likeness in spans), default=0.0),
         "spans": [
-            {"first_word": joined.count(" ", 0, a), "end_word": joined.count(" ", 0, b) + 1, "label": label, "errors": e}
+            {"first_word": ordinal[a], "end_word": ordinal[b] + 1, "label": label, "errors": e}
             for a, b, label, e, _ in spans
         ],
     }

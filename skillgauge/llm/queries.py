@@ -43,7 +43,9 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of all documents."""
-    return notices.scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+    rows = notices.scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    listed = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["first_word"], s["end_word"], s["errors"]))
+    return rows.withColumn("spans", F.array_join(listed, ","))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
