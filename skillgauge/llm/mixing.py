@@ -127,15 +127,14 @@ def source_cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return plan.join(key_at, F.col("source").eqNullSafe(F.col("at")), "left").drop("rest", "at", "n")
 
 
-def taken_tokens() -> tuple[Column, Column]:
+def taken_tokens(prefix: str = "") -> tuple[Column, Column]:
     """Tokens of a row's last, partial pass, and of all its passes."""
-    at_cut = F.floor(F.col("size") * F.col("cut_rest") / F.col("cut_size")).cast("long")
-    part = (
-        F.when(F.col("key") < F.col("cut_key"), F.col("size"))
-        .when(F.col("key") == F.col("cut_key"), at_cut)
-        .otherwise(F.lit(0))
+    size, key, cut_key, cut_size, cut_rest, epochs = (
+        F.col(prefix + name) for name in ("size", "key", "cut_key", "cut_size", "cut_rest", "epochs")
     )
-    return part, F.col("epochs") * F.col("size") + part
+    at_cut = F.floor(size * cut_rest / cut_size).cast("long")
+    part = F.when(key < cut_key, size).when(key == cut_key, at_cut).otherwise(F.lit(0))
+    return part, epochs * size + part
 
 
 def mix(docs: DataFrame, rule: MixRule, stored: str) -> DataFrame:
@@ -156,29 +155,37 @@ def mix(docs: DataFrame, rule: MixRule, stored: str) -> DataFrame:
     return joined.select("doc_id", "size", "source_size", "target", taken_tokens()[1].alias("taken"))
 
 
+OWN = "__mix_"
+
+
 def apply_mix(docs: DataFrame, rule: MixRule, stored: str) -> DataFrame:
     """The mixed rows: whole copies for whole epochs, a cut text where a budget ends.
 
-    Columns and their order stay; ``n_chars`` follows the text. A text cut after
-    word *k* keeps its characters up to there.
+    Columns and their order stay, whatever they are called, but for names that start
+    with ``__mix_``, which are refused; ``n_chars`` follows the text where there is
+    one. A text cut after word *k* keeps its characters up to there.
     """
+    if taken := [name for name in docs.columns if name.lower().startswith(OWN)]:
+        raise ValueError(f"columns {taken} have names that the mix uses itself")
     spark = docs.sparkSession
     size, key = word_count(F.col("text")), random_key(F.col("doc_id"), rule.seed)
     docs.select("source", size.alias("size"), key.alias("key")).write.parquet(stored)
     sized = spark.read.parquet(stored)
-    cuts = source_cuts(sized, source_targets(sized, rule)).withColumnRenamed("source", "at")
-    part, _ = taken_tokens()
+    cuts = source_cuts(sized, source_targets(sized, rule))
+    cuts = cuts.select([F.col(name).alias(OWN + name) for name in cuts.columns])
+    part, epochs = F.col(f"{OWN}part"), F.col(f"{OWN}epochs")
     pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    words = F.slice(pieces, F.lit(1), F.greatest(F.col("part"), F.lit(1)).cast("int"))
-    cut_text = F.when(F.col("part") == F.col("size"), F.col("text")).otherwise(F.array_join(words, ""))
-    copies = F.array_repeat(F.col("text"), F.col("epochs").cast("int"))
-    texts = F.when(F.col("part") > 0, F.array_append(copies, cut_text)).otherwise(copies)
+    words = F.slice(pieces, F.lit(1), F.greatest(part, F.lit(1)).cast("int"))
+    cut_text = F.when(part == F.col(f"{OWN}size"), F.col("text")).otherwise(F.array_join(words, ""))
+    copies = F.array_repeat(F.col("text"), epochs.cast("int"))
+    texts = F.when(part > 0, F.array_append(copies, cut_text)).otherwise(copies)
     mixed = (
-        docs.withColumn("size", size)
-        .withColumn("key", key)
-        .join(cuts, F.col("source").eqNullSafe(F.col("at")))
-        .withColumn("part", part)
+        docs.withColumn(f"{OWN}size", size)
+        .withColumn(f"{OWN}key", key)
+        .join(cuts, F.col("source").eqNullSafe(F.col(f"{OWN}source")))
+        .withColumn(f"{OWN}part", taken_tokens(OWN)[0])
         .withColumn("text", F.explode(texts))
-        .withColumn("n_chars", F.length("text").cast("long"))
     )
+    if "n_chars" in docs.columns:
+        mixed = mixed.withColumn("n_chars", F.length("text").cast("long"))
     return mixed.select(*docs.columns)
