@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import timeit
+from collections import Counter
 
 import pytest
 
@@ -125,15 +127,112 @@ def test_fingerprints(spark, folder):
     rows = queries.op8_merkle(spark, folder).collect()
     assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == sorted(want)
     assert {r.doc_id: r.fingerprint for r in rows} == {d: merkle.fingerprint(t) for d, t in docs}
+    near = {d: [0.0, 0.0] for d, _ in docs}
+    for i, (doc_id, text) in enumerate(docs):
+        after = docs[(i + 1) % len(docs)][1]
+        near[doc_id] = [plain_likeness(text, merkle.edited(text, after)), plain_likeness(text, after)]
+    if len(near) == len(docs):
+        for r in rows:
+            assert [r.near_edited, r.near_next] == pytest.approx(near[r.doc_id], abs=1e-9)
+    for r in rows:
+        assert r.edited_fingerprint == r.fingerprint or r.n_edits or r.near_edited < 1
     long = [r for r in rows if r.n_chars > 500]
     if folder == SMALL:
         assert sum(r.near_edited > 0.5 for r in long) > 0.95 * len(long)
 
 
+def plain_likeness(a, b):
+    """Share of equal pieces, without a tree."""
+    if a == b:
+        return 1.0
+    one, two = (Counter(p for line in t.split("\n") for p in merkle.PIECE.findall(line)) for t in (a, b))
+    size = one.total() + two.total()
+    return 2 * (one & two).total() / size if size else 0.0
+
+
 def test_edits_are_located():
     one = merkle.fingerprint("first line\nsecond line\n\nthird line")
     two = merkle.fingerprint("first line\nsecond line, changed\n\nthird line")
-    assert merkle.edits(one, two) == [(0, 1)] and merkle.edits(one, one) == []
+    assert merkle.edits(one, two) == [(0, 1, 0, 1)] and merkle.edits(one, one) == []
+    line = " ".join(f"word{i}e and more." for i in range(60))
+    pieces = merkle.PIECE.findall(line)
+    assert "".join(pieces) == line and len(pieces) > 4
+    changed = line.replace(pieces[2], pieces[2].replace("and", "AND"))
+    places = merkle.edits(*map(merkle.fingerprint, (f"a\n\nb\n{line}", f"a\n\nb\n{changed}")))
+    assert places == [(1, 1, 2, 3)]
+
+
+def test_roots_tell_texts_apart():
+    texts = ["", "\n", "\n\n", "\n\n\n", "a", "a\n", "\na", "a\n\n", "a\nb", "a\n\nb", "ab", "a" * 300, "a" * 301]
+    marks = [merkle.fingerprint(t) for t in texts]
+    assert len({m[:64] for m in marks}) == len(texts)
+    assert all(merkle.likeness(m, m) == 1 and merkle.edits(m, m) == [] for m in marks)
+
+
+def test_tree_digests_follow_from_those_below():
+    root, sections = merkle.tree(merkle.fingerprint("one\ntwo\n\n" + "x" * 600))
+    assert [len(lines) for _, lines in sections] == [2, 1]
+    assert [len(leaves) for _, lines in sections for _, leaves in lines] == [1, 1, 4]
+    assert sections[0][0] != sections[1][0] and len(root) == 64
+
+
+def test_notice_spans():
+    from skillgauge.llm import notices
+
+    def spans(text):
+        return [(s["first_word"], s["end_word"], s["label"], s["errors"]) for s in notices.scan(text)["spans"]]
+
+    assert spans("all right reserved all rights reserved") == [(0, 3, "proprietary", 1), (3, 6, "proprietary", 0)]
+    assert spans("x All RIGHTS\n reserved, y") == [(1, 4, "proprietary", 0)]
+    assert spans("the small rights reserved") == [] and spans("") == []
+    many = spans("foo all rihts reserved " * 500)
+    assert many == [(4 * i + 1, 4 * i + 4, "proprietary", 1) for i in range(500)]
+
+
+def test_notices_of_long_texts():
+    from skillgauge.llm import notices
+
+    def seconds(times):
+        text = "all right reserved foo " * times
+        return min(timeit.repeat(lambda: notices.scan(text), number=1, repeat=3))
+
+    assert seconds(8000) < 3 * seconds(4000)
+
+
+def test_license_query_lists_spans(spark, folder):
+    for r in queries.op4_license_scan(spark, folder).collect():
+        labels = {s.split(":")[0] for s in r.spans.split(",") if s}
+        assert labels <= set(r.labels.split(",")) and labels | set(r.base_labels.split(",")) >= set(r.labels.split(","))
+
+
+def test_mix_with_clashing_columns(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from skillgauge.llm import mixing
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = ("size", "key", "epochs", "part", "at", "target", "source_size", "cut_key")
+    wide = docs.select("*", *[F.lit(777).alias(n) for n in names])
+    plain = mixing.apply_mix(docs, mixing.MixRule(), str(tmp_path / "a"))
+    mixed = mixing.apply_mix(wide, mixing.MixRule(), str(tmp_path / "b"))
+    assert mixed.columns == wide.columns
+    assert mixed.select([F.min(n) for n in names] + [F.max(n) for n in names]).first() == (777,) * 16
+    assert mixed.select(docs.columns).exceptAll(plain).isEmpty() and mixed.count() == plain.count()
+    with pytest.raises(ValueError):
+        mixing.apply_mix(docs.withColumn("__mix_size", F.lit(1)), mixing.MixRule(), str(tmp_path / "c"))
+
+
+def test_encoder_outputs(spark):
+    from skillgauge.llm import pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "ab  cd ▁e日😀\x00"), (2, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pieces.encode_texts(docs, model).collect()}
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    ids = sp.encode("ab  cd ▁e日😀\x00")
+    assert rows[1].ids == ids and rows[1].decoded == sp.decode(ids) and rows[1].n_tokens == len(ids)
+    assert rows[2].ids == [] and rows[2].decoded == ""
+    assert pieces.encode_texts(docs, model, outputs=("ids",)).columns == ["doc_id", "ids"]
 
 
 def test_components(spark, folder):
