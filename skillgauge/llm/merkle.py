@@ -1,10 +1,11 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and their pieces.
 
 Blank lines part sections, line ends paragraphs, and a paragraph is cut into pieces
-where its own letters say so, so an edit changes only the pieces it touches. The
-fingerprint holds the root and, by section and paragraph, a short digest of each
-piece; every inner digest follows from those below it. Equal roots mean equal texts;
-otherwise only branches that differ are compared, down to the edited pieces.
+where its own letters say so, so an edit changes only the pieces it touches. A
+paragraph's digest is made from those of its pieces, a section's from those of its
+paragraphs, and the root from those of the sections. The fingerprint holds the root
+in full and every node below it in short. Equal roots mean equal texts; otherwise
+only branches whose digests differ are entered, down to the edited pieces.
 
 Defined cases: a null text is an empty one; rows of one doc_id are ordered by a hash
 of their text, then by the text; a null doc_id comes first; the only row of a table is
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from base64 import urlsafe_b64encode
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,66 +25,103 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE = re.compile(r".{20,80}?(?:(?<=[a-e.,])\s|\Z)|.{1,80}", re.S)
-DIGITS = 6
+PIECE = re.compile(r".{40,160}?(?:(?<=[a-e.,])\s|\Z)|.{1,160}", re.S)
+# Characters that a node keeps of its digest.
+PIECE_CHARS, PARAGRAPH_CHARS, SECTION_CHARS = 4, 8, 12
 
+Paragraph = tuple[str, list[str]]
+Section = tuple[str, list[Paragraph]]
 
-def _short(text: str) -> str:
-    return hashlib.blake2b(text.encode(), digest_size=DIGITS // 2).hexdigest()
+
+def _digest(data: bytes, level: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=32, person=level).digest()
+
+
+def _short(digest: bytes, chars: int) -> str:
+    return urlsafe_b64encode(digest[: chars * 3 // 4]).decode()
 
 
 def fingerprint(text: str) -> str:
-    """``root|section;section``; a section is ``paragraph,paragraph`` of piece digests."""
-    sections = [
-        ",".join("".join(map(_short, PIECE.findall(line))) for line in part.split("\n"))
-        for part in text.split("\n\n")
+    """``root|section;section``: a section is its digest and ``paragraph,paragraph``, a
+    paragraph is its digest and those of its pieces. One piece stands for its
+    paragraph; an empty paragraph is empty."""
+    sections, tops = [], []
+    for part in text.split("\n\n"):
+        paragraphs, middles = [], []
+        for line in part.split("\n"):
+            leaves = [_digest(piece.encode(), b"piece") for piece in PIECE.findall(line)]
+            middle = _digest(b"".join(leaves), b"paragraph")
+            middles.append(middle)
+            own = _short(middle, PARAGRAPH_CHARS) if len(leaves) > 1 else ""
+            paragraphs.append(own + "".join([_short(leaf, PIECE_CHARS) for leaf in leaves]))
+        top = _digest(b"".join(middles), b"section")
+        tops.append(top)
+        sections.append(_short(top, SECTION_CHARS) + ",".join(paragraphs))
+    return f"{_digest(b''.join(tops), b'root').hex()}|{';'.join(sections)}"
+
+
+def tree(mark: str) -> tuple[str, list[Section]]:
+    """The root, and each section with its paragraphs with their pieces."""
+
+    def paragraph(node: str) -> Paragraph:
+        pieces = node[PARAGRAPH_CHARS:] if len(node) > PIECE_CHARS else node
+        return node, [pieces[i : i + PIECE_CHARS] for i in range(0, len(pieces), PIECE_CHARS)]
+
+    root, _, body = mark.partition("|")
+    return root, [
+        (node[:SECTION_CHARS], [paragraph(p) for p in node[SECTION_CHARS:].split(",")]) for node in body.split(";")
     ]
-    # The root also covers what short digests cannot tell apart.
-    root = hashlib.sha256(hashlib.sha256(text.encode()).digest() + ";".join(sections).encode()).hexdigest()
-    return f"{root}|{';'.join(sections)}"
 
 
-def _pieces(paragraph: str) -> list[str]:
-    return [paragraph[i : i + DIGITS] for i in range(0, len(paragraph), DIGITS)]
+def _unlike(ours: list, theirs: list) -> tuple[list, list]:
+    """The branches, ``(digest, ...)``, that have no equal partner on the other side."""
+    here, there = Counter(n[0] for n in ours), Counter(n[0] for n in theirs)
 
+    def left(nodes: list, partners: Counter) -> list:
+        out = []
+        for node in nodes:
+            if partners[node[0]] > 0:
+                partners[node[0]] -= 1
+            else:
+                out.append(node)
+        return out
 
-def _unlike(a: list[str], b: list[str]) -> tuple[list[str], list[str], int]:
-    """The branches of two nodes that have no equal partner, and the equal ones' pieces."""
-    left, right = Counter(a), Counter(b)
-    both = left & right
-    same = sum(n * (len(x.replace(",", "")) // DIGITS) for x, n in both.items())
-    return list((left - both).elements()), list((right - both).elements()), same
+    return left(ours, there), left(theirs, here)
 
 
-def likeness(one: str, other: str) -> float:
-    """Share of pieces that two fingerprints have in common (0 to 1)."""
+def differing(one: str, other: str) -> tuple[list[tuple], list[tuple]]:
+    """Pieces of either fingerprint without an equal partner, as (digest, section,
+    paragraph, piece); only sections and paragraphs that differ are entered."""
     if one[:64] == other[:64]:
-        return 1.0
-    a, b = one[65:].split(";"), other[65:].split(";")
-    size = len(one[65:].replace(";", "").replace(",", "")) + len(other[65:].replace(";", "").replace(",", ""))
-    a, b, same = _unlike(a, b)
-    a, b, lines = _unlike([p for s in a for p in s.split(",")], [p for s in b for p in s.split(",")])
-    a, b, parts = _unlike([p for s in a for p in _pieces(s)], [p for s in b for p in _pieces(s)])
-    return 2 * (same + lines + parts) * DIGITS / size if size else 0.0
+        return [], []
+    sides = [[(d, i, lines) for i, (d, lines) in enumerate(tree(mark)[1])] for mark in (one, other)]
+    sides = _unlike(*sides)
+    sides = [[(d, i, j, leaves) for _, i, lines in side for j, (d, leaves) in enumerate(lines)] for side in sides]
+    sides = _unlike(*sides)
+    sides = [[(d, i, j, k) for _, i, j, leaves in side for k, d in enumerate(leaves)] for side in sides]
+    return _unlike(*sides)
 
 
-def edits(one: str, other: str) -> list[tuple[int, int]]:
-    """(section, paragraph) places of ``other`` whose branch has no equal in ``one``."""
+def n_pieces(mark: str) -> int:
+    return sum(len(leaves) for _, lines in tree(mark)[1] for _, leaves in lines)
+
+
+def likeness(one: str, other: str) -> float:
+    """Share of pieces that two fingerprints have in common (0 to 1)."""
     if one[:64] == other[:64]:
-        return []
-    known = Counter(one[65:].split(";"))
-    lines = Counter(p for s in known.elements() for p in s.split(","))
-    found = []
-    for i, section in enumerate(other[65:].split(";")):
-        if known[section]:
-            known[section] -= 1
-            lines.subtract(section.split(","))
-            continue
-        for j, line in enumerate(section.split(",")):
-            if lines[line] > 0:
-                lines[line] -= 1
-            else:
-                found.append((i, j))
+        return 1.0
+    size = n_pieces(one) + n_pieces(other)
+    return 1 - sum(map(len, differing(one, other))) / size if size else 0.0
+
+
+def edits(one: str, other: str) -> list[tuple[int, int, int, int]]:
+    """Places of ``other`` that ``one`` has not: (section, paragraph, first piece, end)."""
+    found: list[tuple[int, int, int, int]] = []
+    for _, section, paragraph, piece in differing(one, other)[1]:
+        if found and found[-1][:2] == (section, paragraph) and found[-1][3] == piece:
+            found[-1] = (*found[-1][:3], piece + 1)
+        else:
+            found.append((section, paragraph, piece, piece + 1))
     return found
 
 
@@ -95,16 +134,20 @@ def edited(text: str, after: str) -> str:
 FIELDS = {
     "doc_id": pa.int64(), "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(),
     "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64(),
+    "n_edits": pa.int64(), "first_edit": pa.string(), "last_edit": pa.string(),
 }
 ENDS = {"part": pa.int32(), "head": pa.string(), "tail": pa.string()}
-ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_edits long, first_edit string, last_edit string"
 
 
 def compared(doc_id, text: str, mark: str, after: str, after_mark: str) -> list:
     new = edited(text, after)
     new_mark = fingerprint(new)
     digest = hashlib.sha256(new.encode()).hexdigest()
-    return [doc_id, len(text), digest, mark, new_mark, likeness(mark, new_mark), likeness(mark, after_mark)]
+    near = likeness(mark, new_mark), likeness(mark, after_mark)
+    places = [f"{i}.{j}.{first}-{end}" for i, j, first, end in edits(mark, new_mark)]
+    ends = (places[0], places[-1]) if places else (None, None)
+    return [doc_id, len(text), digest, mark, new_mark, *near, len(places), *ends]
 
 
 def _table(rows: list[list], fields: dict) -> pa.RecordBatch:
@@ -115,7 +158,9 @@ def _table(rows: list[list], fields: dict) -> pa.RecordBatch:
 
 
 def fingerprints(docs: DataFrame, stored: str) -> DataFrame:
-    """Fingerprints of each text, of its edited text, and their likenesses.
+    """Fingerprints of each text, of its edited text, their likenesses, and where the
+    edited text's tree differs: ``n_edits`` places, the first and the last of them as
+    ``section.paragraph.first_piece-end_piece``, counted from 0.
 
     Texts are dealt into ranges of doc_id once. A range knows the next text of all
     its rows but the last; those rows, one a range, are joined with the first row of
@@ -140,7 +185,7 @@ def fingerprints(docs: DataFrame, stored: str) -> DataFrame:
                 yield _table(rows, FIELDS | ENDS)
         if before is not None:
             doc_id, text, _ = before
-            yield _table([[doc_id, None, None, None, None, None, None, part, head, text]], FIELDS | ENDS)
+            yield _table([[doc_id, *[None] * (len(FIELDS) - 1), part, head, text]], FIELDS | ENDS)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
