@@ -200,7 +200,7 @@ def fingerprints(docs: DataFrame, stored: str) -> DataFrame:
     order = ["doc_id", F.xxhash64("text")]
     keyed.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(
         ranged, f"{ROW}, part int, head string, tail string"
-    ).write.parquet(stored)
+    ).write.option("compression", "zstd").parquet(stored)
     rows = docs.sparkSession.read.parquet(stored)
     heads = rows.where("head IS NOT NULL").select(F.col("part").alias("next"), "head")
     # One narrow row a range; its number is that of the ranges, not of the rows.
