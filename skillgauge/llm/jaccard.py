@@ -2,16 +2,21 @@
 
 Equal sets are folded first; one document stands for each. Sets are indexed under
 their rarest shingles (a prefix long enough that two sets which link share one of
-them). Lists are read in order of size, so sets too small for the rest are dropped,
-and places in two prefixes bound the overlap that is still possible, pair by pair.
-Only components are computed, not all links.
+them). A list is cut into blocks by size class, and a block meets only those whose
+sizes fit; inside, runs of neighbouring places are skipped whole where no pair of
+them can still overlap enough. A block holds a bounded number of sets, so a list of
+any length is dealt to many tasks. Only components are computed, not all links.
 
 Lists that hold the same sets are folded to one. Answers are derived from those of a
-similar set: each list has a pivot, all its sets of fitting size are compared with
-it, and sets linked to the pivot need not be compared with each other. As Jaccard
-distance is a metric, a pair whose distances to a pivot differ by
-more than the threshold allows is skipped too. Only lists that still hold sets of
-several components are read pair by pair.
+similar set: each list has a pivot, a set is compared with one pivot a round, and
+sets linked to the same pivot need not be compared with each other. As Jaccard
+distance is a metric, a pair whose distances to one pivot differ by more than the
+threshold allows is skipped too. Only lists that still hold sets of several
+components are read in blocks.
+
+Each set has a sketch: bit h mod 1,024 flips for every shingle h. Two sketches differ
+in at most as many bits as the sets differ in shingles, so a pair whose sketches
+differ by too much cannot link and its texts are never read. No link is lost by it.
 
 Which shingles count as frequent only changes the order, never the result. Shingles
 are compared by 64-bit hashes.
@@ -40,8 +45,11 @@ WORDS = 5
 SHARE = (4, 5)
 FREQUENT = 50_000
 BLOCK_SETS = 2_000
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 GROUP_SETS = 500
+LIST_SETS = 4_000
+RUN_SETS = 256
+SKETCH_WORDS = 16
 FACTORS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -93,29 +101,57 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int = FREQUENT) -> tupl
     return names[order], np.log2(found["n"].to_numpy()[order].astype(float)).astype(np.int64)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Parities of a set's shingles over ``SKETCH_WORDS`` * 64 bits."""
+    bits = np.bincount((found % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
-    """``doc_id``, ``n``, a digest of the whole set, and its prefix from the rarest on."""
+    """``doc_id``, ``n``, a digest of the whole set, its prefix from the rarest on, its
+    sketch, and the packed words."""
     names, classes = frequent_shingles(docs, size)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, keys, prefixes = [], [], []
-            for text in batch.column(1):
-                found = shingles(text.as_py(), size)
-                n.append(len(found))
-                keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                rank = np.zeros(len(found), np.int64)
-                if len(names) and len(found):
-                    at = np.minimum(np.searchsorted(names, found), len(names) - 1)
-                    rank = np.where(names[at] == found, classes[at] + 1, 0)
-                order = np.lexsort((found, rank))[: prefix_length(len(found), share) if len(found) else 0]
-                prefixes.append(found[order].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "n", "key", "prefix"],
-            )
+        pack = zstandard.ZstdCompressor(3).compress
+        for whole in batches:
+            for first in range(0, whole.num_rows, BLOCK_SETS):
+                batch = whole.slice(first, BLOCK_SETS)
+                n, keys, prefixes, sketches, bodies = [], [], [], [], []
+                for text in batch.column(1):
+                    text = text.as_py() or ""
+                    found = shingles(text, size)
+                    n.append(len(found))
+                    if not len(found):
+                        for held in (keys, prefixes, sketches, bodies):
+                            held.append(None)
+                        continue
+                    keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                    rank = np.zeros(len(found), np.int64)
+                    if len(names):
+                        at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+                        rank = np.where(names[at] == found, classes[at] + 1, 0)
+                    order = np.lexsort((found, rank))[: prefix_length(len(found), share)]
+                    prefixes.append(found[order].view(np.int64))
+                    sketches.append(sketch(found))
+                    bodies.append(pack(b" ".join(WORD.findall(text.encode().lower()))))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.list_(pa.int64())), pa.array(bodies, pa.binary()),
+                    ],
+                    ["doc_id", "n", "key", "prefix", "sketch", "body"],
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n long, key binary, prefix array<long>")
+    schema = "doc_id long, n long, key binary, prefix array<long>, sketch array<long>, body binary"
+    return docs.select("doc_id", "text").mapInArrow(rows, schema)
+
+
+def alike(n: Column, marks: Column, other_n: Column, other_marks: Column, share: tuple[int, int]) -> Column:
+    """Whether two sketches still allow a link."""
+    bits = F.zip_with(marks, other_marks, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    return differing * (share[0] + share[1]) <= (n + other_n) * (share[1] - share[0])
 
 
 def fits(n: Column, place: Column, other_n: Column, other_place: Column, share: tuple[int, int]) -> Column:
@@ -154,12 +190,17 @@ def folded_lists(lists: DataFrame) -> DataFrame:
     Near copies share most of their shingles, so most lists repeat another one. The
     one kept has the rarest places, at which skipping works best.
     """
+    # Sums of hash halves stay within a long and need no sorting.
+    one, two = F.xxhash64("id"), F.xxhash64("id", F.lit(1))
+    low, high = F.lit(0xFFFFFFFF), 32
+    sums = [F.sum(part).alias(f"sum{no}") for no, part in enumerate(
+        [one.bitwiseAND(low), F.shiftright(one, high), two.bitwiseAND(low), F.shiftright(two, high)]
+    )]
     marks = lists.groupBy("token").agg(
-        F.count("*").alias("m"), F.min("id").alias("low"), F.max("id").alias("high"), F.max("place").alias("deep"),
-        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("one"),
-        F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("two"),
-    )
-    kept = marks.where("low <> high").groupBy("m", "low", "high", "one", "two").agg(F.min(F.struct("deep", "token"))["token"].alias("token"))
+        F.count("*").alias("m"), F.min(one).alias("low"), F.max(one).alias("high"), F.max("place").alias("deep"), *sums
+    )
+    same = ("m", "low", "high", "sum0", "sum1", "sum2", "sum3")
+    kept = marks.where("low <> high").groupBy(*same).agg(F.min_by("token", F.struct("deep", "token")).alias("token"))
     return lists.join(kept.select("token"), "token")
 
 
@@ -234,48 +275,115 @@ def components(edges: DataFrame, path) -> DataFrame:
         before = state
 
 
-def mixed_pairs(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs of a list that no pivot has settled: blocks of fitting sizes, place and distances.
+def list_blocks(entries: DataFrame, share: tuple[int, int], limit: int) -> DataFrame:
+    """``entries`` dealt to blocks of one list and size class of some ``limit`` sets each.
 
-    ``entries``: token, n, id, place, label, near (distances to the list's pivots).
+    Every set has a home block. It visits the later blocks of its class and all blocks
+    of the class below it; sizes of other classes never fit.
+    """
+    # A little wider than the sizes that fit, so that rounding matters nowhere.
+    step = 1.001 * float(np.log(share[1] / share[0]))
+    entries = entries.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("long"))
+    parts = entries.groupBy("token", "class").agg(F.ceil(F.count("*") / limit).alias("parts"))
+    dealt = entries.join(parts, ["token", "class"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    home = dealt.withColumn("visitor", F.lit(False))
+    later = dealt.where("part + 1 < parts").withColumn("part", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)))
+    below = parts.select("token", (F.col("class") + 1).alias("class"), F.col("parts").alias("below"))
+    lower = dealt.join(below, ["token", "class"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("below") - 1)))
+    visits = later.unionByName(lower.drop("below").withColumn("class", F.col("class") - 1))
+    return home.unionByName(visits.withColumn("visitor", F.lit(True))).drop("parts")
+
+
+class Run:
+    """Sets of one list with neighbouring places, and what bounds all of them."""
+
+    def __init__(self, ids, labels, pivots, n, place, near, marks) -> None:
+        self.ids, self.labels, self.pivots = ids, labels, pivots
+        self.n, self.place, self.near, self.marks = n, place, near, marks
+        self.least, self.most = int(n.min()), int(n.max())
+        self.deep, self.after = int(place.max()), int((n - place).max())
+
+    def skips(self, other: Run, share: tuple[int, int]) -> bool:
+        """Whether sizes and places rule out every pair of two runs."""
+        if min(self.most, other.most) * share[1] < max(self.least, other.least) * share[0]:
+            return True
+        best = min(self.after, other.after) + min(self.deep, other.deep)
+        return best * (share[0] + share[1]) < (self.least + other.least) * share[0]
+
+    def pairs(self, other: Run, share: tuple[int, int], gap: float) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes of the pairs that sizes, places, sketches and pivots allow."""
+        n, m = self.n[:, None], other.n[None, :]
+        best = np.minimum(n - self.place[:, None], m - other.place) + np.minimum(self.place[:, None], other.place)
+        fit = np.minimum(n, m) * share[1] >= np.maximum(n, m) * share[0]
+        i, j = np.nonzero(fit & (best * (share[0] + share[1]) >= (n + m) * share[0]))
+        bits = np.bitwise_count(self.marks[i] ^ other.marks[j]).sum(axis=1, dtype=np.int64)
+        near = bits * (share[0] + share[1]) <= (self.n[i] + other.n[j]) * (share[1] - share[0])
+        i, j = i[near], j[near]
+        # Distances to one pivot that differ by more than the gap rule out a link.
+        far = (self.pivots[i] == other.pivots[j]) & (np.abs(self.near[i] - other.near[j]) > gap)
+        open_pair = (self.labels[i] != other.labels[j]) & ~far.astype(bool)
+        return i[open_pair], j[open_pair]
+
+
+def mixed_pairs(entries: DataFrame, share: tuple[int, int], limit: int = LIST_SETS) -> DataFrame:
+    """Pairs (a, b) of different components that share a list and may still link.
+
+    ``entries``: token, n, id, place, label, sketch, pivot and distance (null: none).
     """
     gap = 1 - share[0] / share[1] + 1e-9
+    names = ("token", "class", "part", "visitor", "place", "n", "id", "label", "pivot", "distance", "sketch")
+
+    def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, bool, Run]]:
+        """The batch cut where the block or the role changes, and after ``RUN_SETS`` sets."""
+        token, kind, part, visitor, place, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+        ids, labels, pivots = (np.array(batch.column(k).to_pylist() + [None], object)[:-1] for k in range(6, 9))
+        near = batch.column(9).fill_null(0.0).to_numpy(zero_copy_only=False)
+        marks = batch.column(10).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SKETCH_WORDS)
+        # A set without a pivot is its own.
+        pivots = np.where(np.equal(pivots, None), ids, pivots)
+        new = (token[1:] != token[:-1]) | (kind[1:] != kind[:-1]) | (part[1:] != part[:-1]) | (visitor[1:] != visitor[:-1])
+        edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(token)]
+        for start, stop in zip(edges[:-1], edges[1:], strict=True):
+            for at in range(start, stop, RUN_SETS):
+                cut = slice(at, min(at + RUN_SETS, stop))
+                block = (token[at], kind[at], part[at])
+                run = Run(ids[cut], labels[cut], pivots[cut], n[cut].astype(np.int64), place[cut].astype(np.int64), near[cut], marks[cut])
+                yield block, bool(visitor[at]), run
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, kept = None, []
+        block, home = None, []
         for batch in batches:
             left, right = [], []
-            for row in batch.to_pylist():
-                if row["token"] != token:
-                    token, kept = row["token"], []
-                n = row["n"]
-                # Sizes ascend: what is too small now stays too small.
-                first = 0
-                while first < len(kept) and kept[first]["n"] * share[1] < n * share[0]:
-                    first += 1
-                kept = kept[first:]
-                for other in kept:
-                    if other["label"] == row["label"]:
-                        continue
-                    most = 1 + min(n - row["place"], other["n"] - other["place"]) + min(row["place"], other["place"]) - 1
-                    if most * (share[0] + share[1]) < share[0] * (n + other["n"]):
-                        continue
-                    if any(x is not None and y is not None and abs(x - y) > gap for x, y in zip(row["near"], other["near"], strict=True)):
-                        continue
-                    left.append(other["id"])
-                    right.append(row["id"])
-                kept.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
-
-    dealt = entries.repartition("token").sortWithinPartitions("token", "n", "id")
-    found = dealt.select("token", "n", "id", "place", "label", "near").mapInArrow(rows, "a binary, b binary")
+            for at, visitor, run in runs(batch) if batch.num_rows else ():
+                if at != block:
+                    block, home = at, []
+                for other in home:
+                    if not run.skips(other, share):
+                        i, j = run.pairs(other, share, gap)
+                        left.extend(run.ids[i])
+                        right.extend(other.ids[j])
+                if not visitor:
+                    if len(run.ids) > 1:
+                        i, j = run.pairs(run, share, gap)
+                        left.extend(run.ids[i[i < j]])
+                        right.extend(run.ids[j[i < j]])
+                    home.append(run)
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+
+    block = ("token", "class", "part")
+    dealt = list_blocks(entries, share, limit).repartition(*block).sortWithinPartitions(*block, "visitor", "place")
+    found = dealt.select(*names).mapInArrow(rows, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def linked_components(docs: DataFrame, path, size: int = WORDS, share: tuple[int, int] = SHARE) -> DataFrame:
+def linked_components(
+    docs: DataFrame, path, size: int = WORDS, share: tuple[int, int] = SHARE, rounds: int = PIVOT_ROUNDS, limit: int = LIST_SETS
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
 
-    ``path()`` names a new place in the shared folder for each stored step.
+    ``path()`` names a new place in the shared folder for each stored step. ``rounds``
+    of pivots and the sets of a block change the plan only.
     """
     spark = docs.sparkSession
 
@@ -295,49 +403,36 @@ def linked_components(docs: DataFrame, path, size: int = WORDS, share: tuple[int
     sets = members.join(firsts.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first")))
     lists = stored(shared_entries(sets.select("id", "n", F.posexplode("prefix").alias("place", "token"))))
     lists = stored(folded_lists(lists))
-    wanted = stored(firsts.join(lists.select("id").distinct(), "id"))
-
-    def of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(3).compress
-        for batch in batches:
-            names, bodies = [], []
-            for name, key, text in zip(*batch.columns, strict=True):
-                text = text.as_py() or ""
-                # Rows that share a doc_id but not a text are told apart by the digest.
-                if hashlib.blake2b(shingles(text, size).tobytes(), digest_size=16).digest() == key.as_py():
-                    names.append(name.as_py())
-                    bodies.append(pack(b" ".join(WORD.findall(text.encode().lower()))))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(bodies, pa.binary())], ["id", "body"])
-
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("id", "key", "text")
-    bodies = stored(texts.mapInArrow(of_text, "id binary, body binary").dropDuplicates(["id"]))
+    wanted = lists.select("id").distinct()
+    # Repeated rows of one document hold the same set.
+    marks = sets.select("id", "sketch").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    lists = stored(lists.repartition("id").dropDuplicates(["id", "token"]).join(marks, "id"))
+    bodies = stored(sets.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]))
 
     linked = spark.createDataFrame([], "a binary, b binary")
-    state = lists.withColumn("label", F.col("id")).withColumn("near", F.array().cast("array<double>"))
-    for turn in range(PIVOT_ROUNDS):
+    nearest = spark.createDataFrame([], "id binary, pivot binary, distance double")
+    labels = spark.createDataFrame([], "id binary, label binary")
+    for turn in range(rounds):
+        state = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         # A pivot of another component each time, drawn by a hash.
-        draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("drawn"), "id", "n", "place", "label")
+        draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("drawn"), "id", "n", "place", "label", "sketch")
         spans = F.min("label") != F.max("label")
-        pivots = state.groupBy("token").agg(F.min(draw).alias("pivot"), spans.alias("open")).where("open").drop("open")
-        state = state.join(pivots, "token")
-        apart = F.col("label") != F.col("pivot.label")
-        near = fits(F.col("n"), F.col("place"), F.col("pivot.n"), F.col("pivot.place"), share)
-        pairs = state.where(apart & near).select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct()
+        pivots = state.groupBy("token").agg(F.min(draw).alias("p"), spans.alias("open")).where("open").drop("open")
+        apart = F.col("label") != F.col("p.label")
+        near = fits(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"), share)
+        near &= alike(F.col("n"), F.col("sketch"), F.col("p.n"), F.col("p.sketch"), share)
+        met = state.join(pivots, "token").where(apart & near)
+        # Each set meets one pivot a round: the one drawn first, so that lists agree on it.
+        pairs = met.groupBy("id").agg(F.min(F.struct("p.drawn", "p.id")).alias("p")).select(F.col("p.id").alias("a"), F.col("id").alias("b"))
         known = stored(distances(pairs, bodies, share, size, stored))
         linked = linked.union(known.where("linked").select("a", "b"))
         labels = components(linked, path)
-        far = known.select(F.col("a").alias("p"), F.col("b").alias("q"), "distance")
-        own = F.when(F.col("id") == F.col("pivot.id"), 0.0).otherwise(F.col("distance"))
-        state = (
-            state.join(far, (F.col("pivot.id") == F.col("p")) & (F.col("id") == F.col("q")), "left")
-            .withColumn("near", F.array_append("near", own))
-            .drop("p", "q", "distance", "pivot", "label")
-            .join(labels, "id", "left")
-            .withColumn("label", F.coalesce("label", "id"))
-        )
-        state = stored(state)
+        latest = known.select(F.col("b").alias("id"), F.col("a").alias("pivot"), "distance")
+        nearest = latest.union(nearest.join(latest.select("id"), "id", "left_anti"))
+    state = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     open_lists = state.groupBy("token").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("token")
-    rest = stored(distances(mixed_pairs(state.join(open_lists, "token"), share), bodies, share, size, stored))
+    rest = state.join(open_lists, "token").join(nearest, "id", "left")
+    rest = stored(distances(mixed_pairs(rest, share, limit), bodies, share, size, stored))
     labels = components(linked.union(rest.where("linked").select("a", "b")), path)
     named = firsts.withColumnRenamed("first", "doc_id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))

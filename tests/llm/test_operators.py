@@ -253,6 +253,48 @@ def test_components(spark, folder):
     assert len(np.unique([c for *_, c in want])) <= max(len(want), 1)
 
 
+@pytest.mark.parametrize(("rounds", "limit"), [(0, 2), (1, 3)])
+def test_components_by_blocks(spark, tmp_path, rounds, limit):
+    from skillgauge.llm import jaccard
+
+    pick = random.Random(7)
+    docs = []
+    for group in range(12):
+        base = [f"w{group % 5}x{k}" for k in range(40 + 9 * group)]
+        for _ in range(8):
+            words = list(base)
+            for _ in range(pick.choice([0, 1, 2, 3, 5])):
+                words[pick.randrange(len(words))] = f"e{pick.randrange(30)}"
+            docs.append((len(docs) * 3 - 40, " ".join(words[: pick.randrange(20, len(words) + 1)])))
+    docs += [(docs[3][0], docs[9][1]), docs[5], (None, docs[7][1]), (900, None), (901, ""), (902, "a b"), (903, "A  b")]
+    sets = [(d, frozenset(jaccard.shingles(t).tolist())) for d, t in docs if d is not None]
+    # Rows of one id are one node.
+    label = {d: d for d, _ in sets}
+    sizes = [(a, b) for a, x in sets for b, y in sets if x and y and a != b and 5 * len(x & y) >= 4 * len(x | y)]
+    for _ in label:
+        for a, b in sizes:
+            label[a] = label[b] = min(label[a], label[b])
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = jaccard.linked_components(table, lambda: f"{tmp_path}/{random.random()}", rounds=rounds, limit=limit)
+    rows = [(r.doc_id, r.n_shingles, r.component_id) for r in found.collect() if r.doc_id is not None]
+    assert len({c for _, _, c in rows}) > 12
+    several = {docs[3][0]}
+    assert sorted(r for r in rows if r[0] not in several) == sorted((d, len(x), label[d]) for d, x in sets if d not in several)
+
+
+def test_sketches_never_differ_more_than_sets():
+    import numpy as np
+
+    from skillgauge.llm import jaccard
+
+    pick = random.Random(3)
+    for _ in range(50):
+        x, y = (np.unique(np.array([pick.randrange(2**64) for _ in range(pick.randrange(1, 400))], np.uint64)) for _ in "xy")
+        y = np.unique(np.concatenate([y, x[: pick.randrange(len(x) + 1)]]))
+        bits = np.bitwise_count(jaccard.sketch(x).view(np.uint64) ^ jaccard.sketch(y).view(np.uint64)).sum()
+        assert bits <= len(np.setxor1d(x, y))
+
+
 def test_pipeline(spark, folder):
     import corpus_pipeline
 
