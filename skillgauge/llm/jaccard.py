@@ -14,7 +14,7 @@ distance is a metric, a pair whose distances to one pivot differ by more than th
 threshold allows is skipped too. Only lists that still hold sets of several
 components are read in blocks.
 
-Each set has a sketch: bit h mod 1,024 flips for every shingle h. Two sketches differ
+Each set has a sketch: bit h mod 512 flips for every shingle h. Two sketches differ
 in at most as many bits as the sets differ in shingles, so a pair whose sketches
 differ by too much cannot link and its texts are never read. No link is lost by it.
 
@@ -45,11 +45,11 @@ WORDS = 5
 SHARE = (4, 5)
 FREQUENT = 50_000
 BLOCK_SETS = 2_000
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 GROUP_SETS = 500
 LIST_SETS = 4_000
 RUN_SETS = 256
-SKETCH_WORDS = 16
+SKETCH_WORDS = 8
 FACTORS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -108,22 +108,20 @@ def sketch(found: np.ndarray) -> np.ndarray:
 
 
 def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
-    """``doc_id``, ``n``, a digest of the whole set, its prefix from the rarest on, its
-    sketch, and the packed words."""
+    """``doc_id``, ``n``, a digest of the whole set, its prefix from the rarest on, and
+    its sketch."""
     names, classes = frequent_shingles(docs, size)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(3).compress
         for whole in batches:
             for first in range(0, whole.num_rows, BLOCK_SETS):
                 batch = whole.slice(first, BLOCK_SETS)
-                n, keys, prefixes, sketches, bodies = [], [], [], [], []
+                n, keys, prefixes, sketches = [], [], [], []
                 for text in batch.column(1):
-                    text = text.as_py() or ""
-                    found = shingles(text, size)
+                    found = shingles(text.as_py(), size)
                     n.append(len(found))
                     if not len(found):
-                        for held in (keys, prefixes, sketches, bodies):
+                        for held in (keys, prefixes, sketches):
                             held.append(None)
                         continue
                     keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
@@ -134,16 +132,15 @@ def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFr
                     order = np.lexsort((found, rank))[: prefix_length(len(found), share)]
                     prefixes.append(found[order].view(np.int64))
                     sketches.append(sketch(found))
-                    bodies.append(pack(b" ".join(WORD.findall(text.encode().lower()))))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
-                        pa.array(sketches, pa.list_(pa.int64())), pa.array(bodies, pa.binary()),
+                        pa.array(sketches, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "key", "prefix", "sketch", "body"],
+                    ["doc_id", "n", "key", "prefix", "sketch"],
                 )
 
-    schema = "doc_id long, n long, key binary, prefix array<long>, sketch array<long>, body binary"
+    schema = "doc_id long, n long, key binary, prefix array<long>, sketch array<long>"
     return docs.select("doc_id", "text").mapInArrow(rows, schema)
 
 
@@ -190,6 +187,8 @@ def folded_lists(lists: DataFrame) -> DataFrame:
     Near copies share most of their shingles, so most lists repeat another one. The
     one kept has the rarest places, at which skipping works best.
     """
+    # One exchange serves the marks and the join below.
+    lists = lists.repartition("token")
     # Sums of hash halves stay within a long and need no sorting.
     one, two = F.xxhash64("id"), F.xxhash64("id", F.lit(1))
     low, high = F.lit(0xFFFFFFFF), 32
@@ -204,11 +203,30 @@ def folded_lists(lists: DataFrame) -> DataFrame:
     return lists.join(kept.select("token"), "token")
 
 
-def distances(pairs: DataFrame, bodies: DataFrame, share: tuple[int, int], size: int, stored) -> DataFrame:
+def packed_texts(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``id`` and packed ``body`` of the sets in ``wanted`` (id, key, first)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(3).compress
+        for batch in batches:
+            names, bodies = [], []
+            for name, key, text in zip(*batch.columns, strict=True):
+                text = text.as_py() or ""
+                # Rows that share a doc_id but not a text are told apart by the digest.
+                if hashlib.blake2b(shingles(text, size).tobytes(), digest_size=16).digest() == key.as_py():
+                    names.append(name.as_py())
+                    bodies.append(pack(b" ".join(WORD.findall(text.encode().lower()))))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(bodies, pa.binary())], ["id", "body"])
+
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first"))).select("id", "key", "text")
+    return texts.mapInArrow(rows, "id binary, body binary")
+
+
+def distances(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, share: tuple[int, int], size: int, stored) -> DataFrame:
     """``pairs`` (a, b) with ``distance`` and whether they link.
 
-    Each ``a`` meets its partners in one group, or in several if it has many, so its
-    text moves once a group and not once a pair.
+    Only texts of these pairs are read. Each ``a`` meets its partners in one group, or
+    in several if it has many, so its text moves once a group and not once a pair.
     """
     pairs = stored(pairs)
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_SETS).alias("parts"))
@@ -216,6 +234,8 @@ def distances(pairs: DataFrame, bodies: DataFrame, share: tuple[int, int], size:
     asked = stored(
         dealt.select("a", "part", F.col("b").alias("id")).union(dealt.select("a", "part", F.col("a").alias("id")).distinct())
     )
+    wanted = stored(asked.select("id").distinct().join(firsts, "id"))
+    bodies = stored(packed_texts(docs, wanted, size).dropDuplicates(["id"]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -403,11 +423,9 @@ def linked_components(
     sets = members.join(firsts.withColumnRenamed("key", "at"), (F.col("key") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first")))
     lists = stored(shared_entries(sets.select("id", "n", F.posexplode("prefix").alias("place", "token"))))
     lists = stored(folded_lists(lists))
-    wanted = lists.select("id").distinct()
     # Repeated rows of one document hold the same set.
-    marks = sets.select("id", "sketch").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    marks = sets.select("id", "sketch").join(lists.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
     lists = stored(lists.repartition("id").dropDuplicates(["id", "token"]).join(marks, "id"))
-    bodies = stored(sets.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]))
 
     linked = spark.createDataFrame([], "a binary, b binary")
     nearest = spark.createDataFrame([], "id binary, pivot binary, distance double")
@@ -415,24 +433,26 @@ def linked_components(
     for turn in range(rounds):
         state = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         # A pivot of another component each time, drawn by a hash.
-        draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("drawn"), "id", "n", "place", "label", "sketch")
+        draw = F.struct(F.xxhash64("id", F.lit(turn)).alias("drawn"), "id", "n", "place", "label")
         spans = F.min("label") != F.max("label")
         pivots = state.groupBy("token").agg(F.min(draw).alias("p"), spans.alias("open")).where("open").drop("open")
+        sketches = lists.select(F.col("id").alias("named"), F.col("sketch").alias("marks")).dropDuplicates(["named"])
+        pivots = pivots.join(sketches, F.col("p.id") == F.col("named"))
         apart = F.col("label") != F.col("p.label")
         near = fits(F.col("n"), F.col("place"), F.col("p.n"), F.col("p.place"), share)
-        near &= alike(F.col("n"), F.col("sketch"), F.col("p.n"), F.col("p.sketch"), share)
+        near &= alike(F.col("n"), F.col("sketch"), F.col("p.n"), F.col("marks"), share)
         met = state.join(pivots, "token").where(apart & near)
         # Each set meets one pivot a round: the one drawn first, so that lists agree on it.
         pairs = met.groupBy("id").agg(F.min(F.struct("p.drawn", "p.id")).alias("p")).select(F.col("p.id").alias("a"), F.col("id").alias("b"))
-        known = stored(distances(pairs, bodies, share, size, stored))
+        known = stored(distances(pairs, docs, firsts, share, size, stored))
         linked = linked.union(known.where("linked").select("a", "b"))
         labels = components(linked, path)
         latest = known.select(F.col("b").alias("id"), F.col("a").alias("pivot"), "distance")
         nearest = latest.union(nearest.join(latest.select("id"), "id", "left_anti"))
     state = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     open_lists = state.groupBy("token").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("token")
-    rest = state.join(open_lists, "token").join(nearest, "id", "left")
-    rest = stored(distances(mixed_pairs(rest, share, limit), bodies, share, size, stored))
+    mixed = stored(state.join(open_lists, "token").join(nearest, "id", "left"))
+    rest = stored(distances(mixed_pairs(mixed, share, limit), docs, firsts, share, size, stored))
     labels = components(linked.union(rest.where("linked").select("a", "b")), path)
     named = firsts.withColumnRenamed("first", "doc_id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
