@@ -70,7 +70,8 @@ def delete_rows(
                 lost = gone[link.parent].withColumnRenamed(primary[link.parent], link.column)
                 left = cascade_delete(left, lost, link.column, list(link.spread))
         if left is not rows:
-            gone[name] = rows.select(key).join(left.select(key), key, "left_anti")
+            # What is left may be the whole table, so it is never broadcast.
+            gone[name] = rows.select(key).join(left.select(key).hint("merge"), key, "left_anti")
         kept[name] = left.select(*rows.columns)
     return kept
 

@@ -26,7 +26,9 @@ def lookup_join(
     The lookup is counted first. If it is small it is broadcast and the large
     side does not move. Otherwise each lookup row is repeated once per salt and
     the rows of a hot key go to as many tasks as there are salts; the salt is a
-    hash of ``salt_by``, so a task that is run again draws the same one.
+    hash of ``salt_by``, so a task that is run again draws the same one. Both sides are
+    then shuffled and sorted: the planner knows neither the real size of the lookup nor
+    that it is repeated, and would broadcast it at any size.
     """
     if fits(lookup, rows):
         return large.join(F.broadcast(lookup), on, how)
@@ -34,5 +36,5 @@ def lookup_join(
     repeated = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     )
-    joined = large.withColumn("_salt", salt).join(repeated, [*on, "_salt"], how)
+    joined = large.withColumn("_salt", salt).join(repeated.hint("merge"), [*on, "_salt"], how)
     return joined.drop("_salt")

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from skillgauge.operators import bitmaps, constraints, search_index
+from skillgauge.operators import bitmaps, constraints, joins, search_index
 from skillgauge.operators.frequent import frequent_pairs
 from skillgauge.sources.tables import append_load
 from skillgauge.streaming.dedup import first_seen
@@ -84,6 +84,16 @@ def test_deletes_go_down_all_levels(spark, frame):
         constraints.levels(["a", "b"], [key("a", "x", "b", ()), key("b", "y", "a", ())])
 
 
+def test_deletes_of_many_rows_broadcast_nothing(frame, monkeypatch):
+    monkeypatch.setattr(joins, "fits", lambda lookup, rows=0: False)
+    keys = [constraints.ForeignKey("b", "a_id", "a", ("b_id",))]
+    tables = {"a": frame([(i,) for i in range(9)], "a_id int"), "b": frame([(i, i % 9) for i in range(40)], "b_id int, a_id int")}
+    gone = {"a": frame([(1,), (2,)], "a_id int"), "b": frame([(3,)], "b_id int")}
+    left = constraints.delete_rows(tables, gone, keys, {"a": "a_id", "b": "b_id"})["b"]
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.b_id for r in left.collect()) == [i for i in range(40) if i % 9 not in (1, 2) and i != 3]
+
+
 def test_first_seen_over_batches(spark, frame, tmp_path):
     root = str(tmp_path)
     batches = [
