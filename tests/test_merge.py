@@ -168,6 +168,14 @@ def test_a_lookup_beyond_the_limit_gives_the_same_join(frame, how):
     assert "_salt" in salted._jdf.queryExecution().toString()
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_lookup_beyond_the_limit_is_not_broadcast(frame, how):
+    large = frame([(i, f"k{i}") for i in range(90)], "i int, k string")
+    lookup = frame([("k1", 1), ("k3", 2), ("none", 3)], "k string, v int")
+    plan = joins.lookup_join(large, lookup, ["k"], how, ["i"], rows=1)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 RULES = {"source": 3, "title": 5}
 
 
