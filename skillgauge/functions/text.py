@@ -5,7 +5,7 @@ import html as html_lib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # What counts as part of a word: letters, numbers and the underscore.
 WORD = r"\p{L}\p{N}_"
@@ -41,12 +41,22 @@ _PLAIN_ENTITIES = [
     ("&nbsp;", "\u00a0"),
     ("&amp;", "&"),  # last, so that "&amp;lt;" stays "&lt;"
 ]
-_RARE_ENTITY = r"&(?!(?:lt|gt|quot|apos|nbsp|amp|#39);)[#a-zA-Z]"
+# Any other reference as ``html.unescape`` finds them. It holds one "&" only, so what is
+# found at one place does not depend on any other place.
+_RARE_ENTITY = (
+    r"&(?!(?:lt|gt|quot|apos|nbsp|amp|#39);)"
+    r"(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _unescape(references: pd.Series) -> pd.Series:
+    return references.map(lambda row: [html_lib.unescape(r) for r in row], na_action="ignore")
 
 
-@F.pandas_udf(StringType())
-def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(html_lib.unescape, na_action="ignore")
+# So marked, its call is not repeated for filters that the planner derives, as the one
+# before an explode; those would run it a second time, ahead of any repartition.
+_unescape = _unescape.asNondeterministic()
 
 
 def strip(text: Column) -> Column:
@@ -73,16 +83,19 @@ def with_html_text(
     Text nodes are decoded and trimmed, empty ones are dropped, and the rest is
     joined. Null and empty markup give null.
 
-    The usual character references are replaced inside the JVM. Only texts that
-    hold another one travel to Python; all other rows send a null. Each step is a
-    column of its own, so that none is computed twice.
+    The usual character references are replaced inside the JVM. Of the others only the
+    references travel to Python, never the texts around them. Each step is a column of
+    its own, so that none is computed twice.
     """
     flat, rare = F.col("_flat"), F.col("_rare")
-    nodes = F.split(F.coalesce(rare, _decode_plain(flat)), _CUT)
+    between = F.transform(F.split(flat, _RARE_ENTITY, -1), _decode_plain)
+    # One more text than references.
+    parts = F.zip_with(between, rare, lambda text, found: F.concat(text, F.coalesce(found, F.lit(""))))
+    nodes = F.split(F.array_join(parts, ""), _CUT)
     kept = F.filter(F.transform(nodes, strip), lambda node: node != "")
     return (
         df.withColumn("_flat", F.when(F.col(markup) != "", _without_markup(F.col(markup))))
-        .withColumn("_rare", _unescape(F.when(flat.rlike(_RARE_ENTITY), flat)))
+        .withColumn("_rare", _unescape(F.regexp_extract_all(flat, F.lit(_RARE_ENTITY), F.lit(0))))
         .withColumn(name, F.array_join(kept, separator))
         .drop("_flat", "_rare")
     )

@@ -115,6 +115,22 @@ def test_html_to_text_equals_a_parser_on_random_markup(frame):
     assert html_texts(frame, markups) == [model_text(m) for m in markups]
 
 
+def test_references_equal_pythons(frame):
+    rng = random.Random(4)
+    atoms = ["&", "&amp", "&amp;", "&lt;", "&#39;", "&#39", "&notit;", "&copy", "&middot;", "&#x20ac;", "&#0;", "&#xD800;",
+             "&#99999999;", "&;", "&#;", "&#x;", "&foo bar", "&nbspx", "lt;", "x" * 40, " ", ";", "#", "\u00fc", "\U0001f600"]
+    texts_ = ["a" + "".join(rng.choices(atoms, k=rng.randint(1, 9))) + "b" for _ in range(500)]
+    assert html_texts(frame, texts_) == [html_lib.unescape(t) for t in texts_]
+
+
+def test_only_references_go_to_python_and_once(frame):
+    pages = with_html_text(frame([("a &copy; b",)], "v string"), "v", "t")
+    words = pages.select(F.explode(F.split("t", " ")).alias("w"))
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "_unescape(regexp_extract_all(" in plan
+    assert [r.w for r in words.collect()] == ["a", "\u00a9", "b"]
+
+
 def test_long_attributes_do_not_overflow(frame):
     markup = f"<a title=\"{'x' * 200_000}\" {'y' * 200_000}>t</a><!--{'z' * 200_000}-->"
     assert html_texts(frame, [markup]) == ["t"]
