@@ -20,30 +20,31 @@ INDEX = "word string, block int, n int, best int, postings array<struct<job_id:s
 FIRST = 8
 
 
-def word_lists(texts: DataFrame) -> DataFrame:
-    """``job_id`` and the lower-case words of its text. Narrow."""
+def word_lists(texts: DataFrame, *kept: str) -> DataFrame:
+    """``job_id`` and the lower-case words of its text, and the columns ``kept``. Narrow."""
     words = F.regexp_extract_all(F.lower("job_description"), F.lit(f"[{WORD}]+"), F.lit(0))
-    return texts.select("job_id", words.alias("words"))
+    return texts.select(*kept, "job_id", words.alias("words"))
 
 
 def build_index(texts: DataFrame, blocks: int) -> DataFrame:
     """Index rows of a load of jobs (job_id, job_description), each id once.
 
-    A text's words are counted inside its row, so a word is shuffled once a job. A block
-    of a word that every job holds has as many postings as the block has jobs.
+    Texts are shuffled once, by block; words are counted and collected where they then
+    are, so neither words nor postings move. A block of a word that every job holds has
+    as many postings as the block has jobs.
     """
-    words = word_lists(texts)
-    counted = words.select("job_id", F.explode("words").alias("word")).groupBy("job_id", "word").agg(
-        F.count("*").cast("int").alias("tf")
-    )
     block = F.pmod(F.xxhash64("job_id"), F.lit(blocks)).cast("int")
-    rows = counted.groupBy("word", block.alias("block")).agg(
+    # A task for each block; put together, blocks would need the memory of several.
+    dealt = texts.select("job_id", "job_description", block.alias("block")).repartitionById(blocks, F.col("block"))
+    words = word_lists(dealt, "block").select("block", "job_id", F.explode("words").alias("word"))
+    counted = words.groupBy("block", "job_id", "word").agg(F.count("*").cast("int").alias("tf"))
+    rows = counted.groupBy("word", "block").agg(
         F.count("*").cast("int").alias("n"),
         F.max("tf").alias("best"),
         F.collect_list(F.struct("job_id", "tf")).alias("postings"),
     )
-    # Rows of a word lie together, so a search opens few row groups.
-    return rows.repartitionByRange("word").sortWithinPartitions("word", "block")
+    # Rows of a word lie together in each file, so a search opens few row groups.
+    return rows.sortWithinPartitions("word", "block")
 
 
 def _weights(index: DataFrame, words: list[str], n_jobs: int) -> dict[str, float] | None:

@@ -67,6 +67,16 @@ def test_search_by_blocks(spark, frame):
     index.unpersist()
 
 
+def test_an_index_shuffles_texts_once_and_no_words(frame):
+    texts = frame([("1", "a b a"), ("2", "b"), ("2", "b c"), (None, "a"), ("3", None)], "job_id string, job_description string")
+    index = search_index.build_index(texts, 4)
+    assert index._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    rows = index.select("word", F.inline("postings")).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(
+        [("a", "1", 2), ("b", "1", 1), ("b", "2", 2), ("c", "2", 1), ("a", None, 1)], key=repr
+    )
+
+
 def test_deletes_go_down_all_levels(spark, frame):
     key = constraints.ForeignKey
     keys = [key("b", "a_id", "a", ("b_id",)), key("c", "b_id", "b", ("c_id",)), key("c", "a_id", "a", ("c_id",))]
