@@ -128,6 +128,31 @@ def repeated_windows(texts: list[list[str]]) -> list[list[int]]:
     return out
 
 
+def repeated_grams(found: DataFrame) -> DataFrame:
+    """The rows of ``found`` whose n-gram occurs more than once.
+
+    They are shuffled once, and what occurs once is left out in passing.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, twice = None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            gram = table["gram"].to_numpy()
+            same = gram[1:] == gram[:-1]
+            keep = np.r_[twice, same] | np.r_[same, False]
+            yield from table.filter(pa.array(np.r_[keep[:-1], False])).to_batches()
+            # The next batch tells whether the last row's n-gram comes again.
+            held, twice = table.slice(len(gram) - 1).to_batches()[0], bool(keep[-1])
+        if held is not None and twice:
+            yield held
+
+    dealt = found.repartition("gram").sortWithinPartitions("gram")
+    return dealt.mapInArrow(rows, found.schema)
+
+
 def _spans(starts: list[int]) -> list[tuple[int, int]]:
     found: list[tuple[int, int]] = []
     for at in starts:
@@ -146,7 +171,7 @@ def remove_repeats(docs: DataFrame, path) -> DataFrame:
     spark = docs.sparkSession
 
     def stored(rows: DataFrame) -> DataFrame:
-        rows.write.parquet(at := path())
+        rows.write.option("compression", "zstd").parquet(at := path())
         return spark.read.parquet(at)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +198,7 @@ def remove_repeats(docs: DataFrame, path) -> DataFrame:
     )
     found = stored(keyed.select("doc", "row", "text").mapInArrow(cut, "doc long, row long, start long, size long, gram long, digest long"))
     # Only n-grams that occur again can hold a repeat.
-    again = found.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
-    found = stored(found.join(again, "gram"))
+    found = stored(repeated_grams(found))
     firsts = stored(found.groupBy("gram", "digest").agg(F.min(F.struct("doc", "row", "start", "size")).alias("first")))
     later = found.join(firsts, ["gram", "digest"]).where("doc <> first.doc OR start <> first.start")
     whole = later.select("doc", "row", F.struct("start", (F.col("start") + F.col("size")).alias("end")).alias("span"))

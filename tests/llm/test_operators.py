@@ -390,3 +390,18 @@ def test_notice_spans_leave_no_hit_in_the_gaps():
             assert not [part for part in parts if edits(part, notice) <= 1]
             at = b
     assert many > 100
+
+
+def test_repeated_grams_shuffles_once_and_leaves_out_single_ones(spark):
+    from skillgauge.llm import repeats
+
+    grams = [1] * 3 + [2] + [3] * 25 + list(range(10, 60))
+    found = spark.createDataFrame([(i, g) for i, g in enumerate(grams)], "start long, gram long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        kept = repeats.repeated_grams(found)
+        assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        assert sorted(map(tuple, kept.collect())) == [(i, g) for i, g in enumerate(grams) if g in (1, 3)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
