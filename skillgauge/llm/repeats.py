@@ -14,8 +14,6 @@ other; a null doc_id comes before all others.
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,20 +22,32 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WINDOW = 20
 GRAM = 10
 BLOCK_WORDS = 100_000
-FACTORS = np.random.default_rng(11).integers(1, 2**63, GRAM, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+KNOWN_WORDS = 200_000
+#: A segment has at most this many words: windows that share an n-gram.
+LONGEST = 2 * WINDOW - GRAM
+FACTORS = np.random.default_rng(11).integers(1, 2**63, GRAM + LONGEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 NO_ID = -(2**63)
 
 
-def segments(words: list[str]) -> Iterator[tuple[int, int, int]]:
-    """(start, words, n-gram) of each run of windows under one n-gram."""
+class WordHashes(dict):
+    """Hashes of words, kept for those met before."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word)
+        return made
+
+
+def segments(words: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, words, n-gram and digest of each run of windows under one n-gram."""
     count = len(words) - WINDOW + 1
     if count < 1:
-        return
-    hashed = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+        return (np.zeros(0, np.int64),) * 4
+    hashed = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     size = len(words) - GRAM + 1
     with np.errstate(over="ignore"):
         grams = np.zeros(size, np.uint64)
@@ -48,8 +58,16 @@ def segments(words: list[str]) -> Iterator[tuple[int, int, int]]:
     reach = WINDOW - GRAM + 1
     least = np.lib.stride_tricks.sliding_window_view(grams, reach).argmin(axis=1) + np.arange(count)
     first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    for start, after in zip(first, np.r_[first[1:], count], strict=True):
-        yield int(start), int(after - start) + WINDOW - 1, int(grams[least[start]].astype(np.int64))
+    sizes = np.diff(np.r_[first, count]) + WINDOW - 1
+    with np.errstate(over="ignore"):
+        digests = sizes.astype(np.uint64) * FACTORS[1]
+        for k in range(LONGEST):
+            # Places behind a segment's end add nothing.
+            at = np.minimum(first + k, len(words) - 1)
+            digests += np.where(k < sizes, hashed[at], np.uint64(0)) * FACTORS[GRAM + k]
+        digests = (digests ^ (digests >> np.uint64(31))) * FACTORS[2]
+        digests ^= digests >> np.uint64(29)
+    return first, sizes, grams[least[first]].view(np.int64), digests.view(np.int64)
 
 
 class WaveletTree:
@@ -153,6 +171,11 @@ def repeated_grams(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(rows, found.schema)
 
 
+def _words(texts: pa.Array) -> Iterator[list[bytes]]:
+    """Words of each text. Splitting bytes takes space and 0x09 to 0x0D, and no others."""
+    return (text.split() for text in texts.cast(pa.binary()).to_pylist())
+
+
 def _spans(starts: list[int]) -> list[tuple[int, int]]:
     found: list[tuple[int, int]] = []
     for at in starts:
@@ -175,17 +198,15 @@ def remove_repeats(docs: DataFrame, path) -> DataFrame:
         return spark.read.parquet(at)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                rows = []
-                for doc, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    words = WORD.findall(text)
-                    for start, size, gram in segments(words):
-                        body = "\n".join(words[start : start + size]).encode()
-                        digest = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little", signed=True)
-                        rows.append((doc, row, start, size, gram, digest))
-                yield _batch(rows, ["doc", "row", "start", "size", "gram", "digest"])
+                found = [segments(words, hashes) for words in _words(part.column(2))]
+                many = [len(f[0]) for f in found]
+                columns = [np.repeat(part.column(k).to_numpy(), many) for k in (0, 1)]
+                columns += [np.concatenate(c) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "row", "start", "size", "gram", "digest"])
 
     def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
@@ -196,8 +217,8 @@ def remove_repeats(docs: DataFrame, path) -> DataFrame:
     keyed = docs.select(
         doc.alias("doc_id"), F.coalesce(doc, F.lit(NO_ID)).alias("doc"), F.xxhash64(text).alias("row"), text.alias("text")
     )
-    found = stored(keyed.select("doc", "row", "text").mapInArrow(cut, "doc long, row long, start long, size long, gram long, digest long"))
-    # Only n-grams that occur again can hold a repeat.
+    found = keyed.select("doc", "row", "text").mapInArrow(cut, "doc long, row long, start long, size long, gram long, digest long")
+    # Only n-grams that occur again can hold a repeat. The others are shuffled, never stored.
     found = stored(repeated_grams(found))
     firsts = stored(found.groupBy("gram", "digest").agg(F.min(F.struct("doc", "row", "start", "size")).alias("first")))
     later = found.join(firsts, ["gram", "digest"]).where("doc <> first.doc OR start <> first.start")
@@ -210,9 +231,9 @@ def remove_repeats(docs: DataFrame, path) -> DataFrame:
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, row, text, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = WORD.findall(text)
-                bodies = ["\n".join(words[p["start"] : p["start"] + p["size"]]) for p in parts]
+            rows = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), _words(batch.column(2)), batch.column(3).to_pylist())
+            for doc, row, words, parts in zip(*rows, strict=True):
+                bodies = [b"\n".join(words[p["start"] : p["start"] + p["size"]]).decode() for p in parts]
                 n = len(parts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p["gram"] for p in parts], pa.int64()), pa.array([doc] * n, pa.int64()), pa.array([row] * n, pa.int64()),
@@ -253,15 +274,18 @@ def remove_repeats(docs: DataFrame, path) -> DataFrame:
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = WORD.findall(text)
+            found = (batch.column(0).to_pylist(), _words(batch.column(1)), batch.column(2).to_pylist())
+            for doc_id, words, spans in zip(*found, strict=True):
+                if not spans:
+                    rows.append((doc_id, len(words), 0, b" ".join(words).decode()))
+                    continue
                 gone = np.zeros(len(words) + 1, np.int64)
-                for s in spans or []:
+                for s in spans:
                     gone[s["start"]] += 1
                     gone[s["end"]] -= 1
                 keep = (np.cumsum(gone)[:-1] == 0).tolist()
                 kept = [w for w, k in zip(words, keep, strict=True) if k]
-                rows.append((doc_id, len(words), len(words) - len(kept), " ".join(kept)))
+                rows.append((doc_id, len(words), len(words) - len(kept), b" ".join(kept).decode()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(

@@ -405,3 +405,34 @@ def test_repeated_grams_shuffles_once_and_leaves_out_single_ones(spark):
         assert sorted(map(tuple, kept.collect())) == [(i, g) for i, g in enumerate(grams) if g in (1, 3)]
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_op7_stores_no_segment_whose_gram_occurs_once(spark, tmp_path):
+    from skillgauge.llm import repeats
+
+    shared = " ".join(f"s{i}" for i in range(30))
+    rows = [(i, " ".join(f"w{i}-{k}" for k in range(200)) + (f" {shared}" if i < 2 else "")) for i in range(6)]
+    paths = []
+
+    def path():
+        paths.append(str(tmp_path / f"step{len(paths)}"))
+        return paths[-1]
+
+    kept = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    assert {r.doc_id: r.n_removed for r in kept.collect()} == {i: 30 * (i == 1) for i in range(6)}
+    first = spark.read.parquet(paths[0])
+    assert first.count() > 0 and not first.groupBy("gram").count().where("count = 1").count()
+
+
+def test_op7_segments_have_equal_digests_only_if_their_words_are_equal():
+    from skillgauge.llm import repeats
+
+    drawn = random.Random(3)
+    words = [b"%d" % drawn.randrange(3) for _ in range(4000)]
+    starts, sizes, grams, digests = repeats.segments(words, repeats.WordHashes())
+    assert sizes.max() <= repeats.LONGEST and int(sizes.sum()) == len(words) - 19 + 19 * len(sizes)
+    named = {}
+    for at, n, gram, digest in zip(starts, sizes, grams, digests, strict=True):
+        named.setdefault((gram, digest), set()).add(tuple(words[at : at + n]))
+    assert all(len(held) == 1 for held in named.values())
+    assert len(set(map(next, map(iter, named.values())))) == len(named)
