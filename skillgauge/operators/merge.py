@@ -186,7 +186,7 @@ def cascade_delete(
 ) -> DataFrame:
     """Child rows left after the parents in ``deleted`` are gone."""
     gone = deleted.select(key).dropna().distinct()
-    return lookup_join(children, gone, [key], "left_anti", salt_by)
+    return lookup_join(children, gone, [key], "left_anti", salt_by, read_twice=True)
 
 
 def orphans(
@@ -199,4 +199,5 @@ def orphans(
         [key],
         "left_anti",
         salt_by,
+        read_twice=True,
     )

@@ -226,3 +226,33 @@ def test_parse_metrics(frame):
     )
     assert tuple(quality.parse_metrics(parsed).first()) == (6, 2, 2, 2)
     assert tuple(quality.parse_metrics(parsed.limit(0)).first()) == (0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_only_hot_keys_of_a_large_lookup_are_repeated(frame, how, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 20)
+    hot_keys = joins.hot_keys
+    monkeypatch.setattr(joins, "hot_keys", lambda large, on: hot_keys(large, on, 20))
+    rows = [(i, "hot" if i % 2 else None if i % 3 else f"k{i}") for i in range(120)]
+    large = frame(rows, "i int, k string")
+    lookup = frame([(f"k{i}", i) for i in range(0, 200, 4)] + [("hot", 1), (None, 2)], "k string, v int")
+    found = joins.lookup_join(large, lookup, ["k"], how, ["i"], rows=1, read_twice=True)
+    plain = large.join(lookup, ["k"], how)
+    columns = sorted(plain.columns)
+    assert sorted(map(repr, found.select(columns).collect())) == sorted(map(repr, plain.select(columns).collect()))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert len(joins.hot_keys(large, ["k"])) == 2  # "hot" and null
+
+
+def test_a_lookup_of_orphans_is_not_repeated(frame, monkeypatch):
+    repeated = []
+    explode = joins.F.explode
+    monkeypatch.setattr(joins.F, "explode", lambda c: repeated.append(c) or explode(c))
+    monkeypatch.setattr(joins, "fits", lambda lookup, rows=0: False)
+    children = frame([(f"k{i % 50}", i) for i in range(300)] + [(None, 1)], "k string, s int")
+    parents = frame([(f"k{i}",) for i in range(40)], "k string")
+    left = merge.orphans(children, parents, "k", ["s"])
+    assert sorted(r.s for r in left.collect()) == [i for i in range(300) if i % 50 >= 40]
+    (salts,) = repeated
+    assert parents.select(joins.F.size(salts)).distinct().collect() == [(1,)]
+    assert merge.cascade_delete(children, parents, "k", ["s"]).count() == 61
