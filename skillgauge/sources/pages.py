@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
-    DataSourceWriter,
     InputPartition,
     WriterCommitMessage,
 )
@@ -129,25 +129,26 @@ class _Written(WriterCommitMessage):
     n: int
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     """Each task writes its pages under their own names. A file appears under its name
-    only when it is whole, and a task that is run again writes the same files."""
+    only when it is whole, and a task that is run again writes the same files. Texts stay
+    in their Arrow batch; one at a time is taken from it."""
 
     def __init__(self, folder: str, fan: int):
         self.folder, self.fan = folder, fan
 
-    def write(self, rows: Iterator) -> _Written:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         system, top = file_system(self.folder)
         n, made = 0, set()
-        for row in rows:
-            name = row["file_name"]
+        for name, html in (pair for batch in batches for pair in zip(batch["file_name"], batch["html"], strict=True)):
+            name = name.as_py()
             folder = f"{top}/{zlib.crc32(name.encode()) % self.fan:05d}" if self.fan else top
             if folder not in made:
                 system.create_dir(folder, recursive=True)
                 made.add(folder)
             partial = f"{folder}/_{uuid.uuid4().hex}"
             with system.open_output_stream(partial) as stream:
-                stream.write((row["html"] or "").encode())
+                stream.write(html.as_buffer() if html.is_valid else b"")
             system.move(partial, f"{folder}/{name}")
             n += 1
         return _Written(n)

@@ -228,3 +228,16 @@ def test_stored_keys_meet_a_batch_without_moving(spark, frame, tmp_path):
     assert sorted(map(tuple, known_keys(batch, root, "t", keys).collect())) == [("x", "2"), ("z", "9")]
     compact_loads(spark, root, "t", schema, keep=0)
     assert sorted(map(tuple, known_keys(batch, root, "t", keys).collect())) == [("x", "2"), ("z", "9")]
+
+
+def test_pages_are_written_from_arrow_batches_one_text_at_a_time(tmp_path):
+    import pyarrow as pa
+
+    from skillgauge.sources import pages
+
+    texts = ["<p>größer 日本</p>", None, "", "x" * 5000]
+    rows = pa.RecordBatch.from_pydict({"file_name": [f"p{i}.html" for i in range(4)], "html": pa.array(texts, pa.string())})
+    written = pages._Writer(str(tmp_path), 0).write(iter([rows.slice(0, 1), rows.slice(1)]))
+    assert written.n == 4
+    assert [(tmp_path / f"p{i}.html").read_text(encoding="utf-8") for i in range(4)] == [t or "" for t in texts]
+    assert len(list(tmp_path.iterdir())) == 4
