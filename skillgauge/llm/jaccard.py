@@ -17,6 +17,8 @@ components are read in blocks.
 Each set has a sketch: bit h mod 512 flips for every shingle h. Two sketches differ
 in at most as many bits as the sets differ in shingles, so a pair whose sketches
 differ by too much cannot link and its texts are never read. No link is lost by it.
+Where all pairs of a list are compared, a sketch has about as many bits as its set has
+shingles, so that it also tells large sets apart; the wider of two is folded.
 
 Which shingles count as frequent only changes the order, never the result. Shingles
 are compared by 64-bit hashes.
@@ -50,6 +52,7 @@ GROUP_SETS = 500
 LIST_SETS = 4_000
 RUN_SETS = 256
 SKETCH_WORDS = 8
+WIDEST = 128
 FACTORS = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -101,12 +104,28 @@ def frequent_shingles(docs: DataFrame, size: int, limit: int = FREQUENT) -> tupl
     return names[order], np.log2(found["n"].to_numpy()[order].astype(float)).astype(np.int64)
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
-    """Parities of a set's shingles over ``SKETCH_WORDS`` * 64 bits."""
-    bits = np.bincount((found % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+def sketch(found: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """Parities of a set's shingles over ``words`` * 64 bits."""
+    bits = np.bincount((found % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def sketch_words(n: int) -> int:
+    """Words of the wide sketch of a set: the next power of two that gives a bit a shingle."""
+    words = SKETCH_WORDS
+    while words * 64 < n and words < WIDEST:
+        words *= 2
+    return words
+
+
+def narrowed(marks: np.ndarray, words: int) -> np.ndarray:
+    """Wide sketches, one a row, as they would be with so many ``words``."""
+    while marks.shape[1] > words:
+        half = marks.shape[1] // 2
+        marks = marks[:, :half] ^ marks[:, half:]
+    return marks
+
+
 def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFrame:
     """``doc_id``, ``n``, a digest of the whole set, its prefix from the rarest on, and
     its sketch."""
@@ -116,12 +135,12 @@ def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFr
         for whole in batches:
             for first in range(0, whole.num_rows, BLOCK_SETS):
                 batch = whole.slice(first, BLOCK_SETS)
-                n, keys, prefixes, sketches = [], [], [], []
+                n, keys, prefixes, sketches, wide = [], [], [], [], []
                 for text in batch.column(1):
                     found = shingles(text.as_py(), size)
                     n.append(len(found))
                     if not len(found):
-                        for held in (keys, prefixes, sketches):
+                        for held in (keys, prefixes, sketches, wide):
                             held.append(None)
                         continue
                     keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
@@ -132,15 +151,16 @@ def described_sets(docs: DataFrame, size: int, share: tuple[int, int]) -> DataFr
                     order = np.lexsort((found, rank))[: prefix_length(len(found), share)]
                     prefixes.append(found[order].view(np.int64))
                     sketches.append(sketch(found))
+                    wide.append(sketch(found, sketch_words(len(found))))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
-                        pa.array(sketches, pa.list_(pa.int64())),
+                        pa.array(sketches, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "key", "prefix", "sketch"],
+                    ["doc_id", "n", "key", "prefix", "sketch", "wide"],
                 )
 
-    schema = "doc_id long, n long, key binary, prefix array<long>, sketch array<long>"
+    schema = "doc_id long, n long, key binary, prefix array<long>, sketch array<long>, wide array<long>"
     return docs.select("doc_id", "text").mapInArrow(rows, schema)
 
 
@@ -336,7 +356,9 @@ class Run:
         best = np.minimum(n - self.place[:, None], m - other.place) + np.minimum(self.place[:, None], other.place)
         fit = np.minimum(n, m) * share[1] >= np.maximum(n, m) * share[0]
         i, j = np.nonzero(fit & (best * (share[0] + share[1]) >= (n + m) * share[0]))
-        bits = np.bitwise_count(self.marks[i] ^ other.marks[j]).sum(axis=1, dtype=np.int64)
+        words = min(self.marks.shape[1], other.marks.shape[1])
+        mine, theirs = narrowed(self.marks, words), narrowed(other.marks, words)
+        bits = np.bitwise_count(mine[i] ^ theirs[j]).sum(axis=1, dtype=np.int64)
         near = bits * (share[0] + share[1]) <= (self.n[i] + other.n[j]) * (share[1] - share[0])
         i, j = i[near], j[near]
         # Distances to one pivot that differ by more than the gap rule out a link.
@@ -348,7 +370,8 @@ class Run:
 def mixed_pairs(entries: DataFrame, share: tuple[int, int], limit: int = LIST_SETS) -> DataFrame:
     """Pairs (a, b) of different components that share a list and may still link.
 
-    ``entries``: token, n, id, place, label, sketch, pivot and distance (null: none).
+    ``entries``: token, n, id, place, label, pivot, distance (null: none) and sketch, of
+    any widths that ``narrowed`` can make equal.
     """
     gap = 1 - share[0] / share[1] + 1e-9
     names = ("token", "class", "part", "visitor", "place", "n", "id", "label", "pivot", "distance", "sketch")
@@ -358,7 +381,9 @@ def mixed_pairs(entries: DataFrame, share: tuple[int, int], limit: int = LIST_SE
         token, kind, part, visitor, place, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(6))
         ids, labels, pivots = (np.array(batch.column(k).to_pylist() + [None], object)[:-1] for k in range(6, 9))
         near = batch.column(9).fill_null(0.0).to_numpy(zero_copy_only=False)
-        marks = batch.column(10).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SKETCH_WORDS)
+        marks = batch.column(10).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        widths = batch.column(10).value_lengths().to_numpy(zero_copy_only=False)
+        first = np.cumsum(widths) - widths
         # A set without a pivot is its own.
         pivots = np.where(np.equal(pivots, None), ids, pivots)
         new = (token[1:] != token[:-1]) | (kind[1:] != kind[:-1]) | (part[1:] != part[:-1]) | (visitor[1:] != visitor[:-1])
@@ -367,7 +392,13 @@ def mixed_pairs(entries: DataFrame, share: tuple[int, int], limit: int = LIST_SE
             for at in range(start, stop, RUN_SETS):
                 cut = slice(at, min(at + RUN_SETS, stop))
                 block = (token[at], kind[at], part[at])
-                run = Run(ids[cut], labels[cut], pivots[cut], n[cut].astype(np.int64), place[cut].astype(np.int64), near[cut], marks[cut])
+                # Sets of a block have much the same size, so little is folded.
+                words = int(widths[cut].min())
+                held = np.empty((cut.stop - at, words), np.uint64)
+                for width in np.unique(widths[cut]):
+                    some = np.flatnonzero(widths[cut] == width)
+                    held[some] = narrowed(marks[first[cut][some, None] + np.arange(width)], words)
+                run = Run(ids[cut], labels[cut], pivots[cut], n[cut].astype(np.int64), place[cut].astype(np.int64), near[cut], held)
                 yield block, bool(visitor[at]), run
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,7 +439,7 @@ def linked_components(
     spark = docs.sparkSession
 
     def stored(rows: DataFrame) -> DataFrame:
-        rows.write.parquet(at := path())
+        rows.write.option("compression", "zstd").parquet(at := path())
         return spark.read.parquet(at)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -451,7 +482,9 @@ def linked_components(
         nearest = latest.union(nearest.join(latest.select("id"), "id", "left_anti"))
     state = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     open_lists = state.groupBy("token").agg((F.min("label") != F.max("label")).alias("open")).where("open").select("token")
-    mixed = stored(state.join(open_lists, "token").join(nearest, "id", "left"))
+    wide = sets.select("id", F.col("wide").alias("sketch")).dropDuplicates(["id"])
+    mixed = state.drop("sketch").join(open_lists, "token").join(nearest, "id", "left")
+    mixed = stored(mixed.join(wide.hint("merge"), "id"))
     rest = stored(distances(mixed_pairs(mixed, share, limit), docs, firsts, share, size, stored))
     labels = components(linked.union(rest.where("linked").select("a", "b")), path)
     named = firsts.withColumnRenamed("first", "doc_id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))

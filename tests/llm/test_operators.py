@@ -436,3 +436,24 @@ def test_op7_segments_have_equal_digests_only_if_their_words_are_equal():
         named.setdefault((gram, digest), set()).add(tuple(words[at : at + n]))
     assert all(len(held) == 1 for held in named.values())
     assert len(set(map(next, map(iter, named.values())))) == len(named)
+
+
+def test_op5_wide_sketches_tell_large_sets_apart_and_lose_no_pair(spark):
+    import numpy as np
+    from skillgauge.llm import jaccard
+
+    drawn = np.random.default_rng(2)
+    base = drawn.integers(0, 2**63, 3000, dtype=np.uint64)
+    sets = [np.unique(np.r_[base[:20], drawn.integers(0, 2**63, 2600 + 40 * k, dtype=np.uint64)]) for k in range(12)]
+    # Near copies of sizes with sketches of different widths.
+    sets += [np.unique(base[:2000]), np.unique(base[:2200])]
+    rows = [
+        (7, bytes([k]), len(x), 0, bytes([k]), None, None, [int(w) for w in jaccard.sketch(x, jaccard.sketch_words(len(x)))])
+        for k, x in enumerate(sets)
+    ]
+    schema = "token long, id binary, n long, place int, label binary, pivot binary, distance double, sketch array<long>"
+    assert len({len(r[-1]) for r in rows}) > 1
+    found = jaccard.mixed_pairs(spark.createDataFrame(rows, schema), jaccard.SHARE)
+    assert [(bytes(r.a), bytes(r.b)) for r in found.collect()] == [(bytes([12]), bytes([13]))]
+    both = jaccard.sketch(sets[0], 32)[None, :].view(np.uint64)
+    assert (jaccard.narrowed(both, 8)[0] == jaccard.sketch(sets[0]).view(np.uint64)).all()
