@@ -457,3 +457,94 @@ def test_op5_wide_sketches_tell_large_sets_apart_and_lose_no_pair(spark):
     assert [(bytes(r.a), bytes(r.b)) for r in found.collect()] == [(bytes([12]), bytes([13]))]
     both = jaccard.sketch(sets[0], 32)[None, :].view(np.uint64)
     assert (jaccard.narrowed(both, 8)[0] == jaccard.sketch(sets[0]).view(np.uint64)).all()
+
+
+def test_op5_shingles_of_odd_words_are_told_apart():
+    from skillgauge.llm import jaccard
+
+    pick = random.Random(11)
+    parts = ["a", "B", "É", " ", "\n", "\x0b", "zz", "long" * 20, "\x00", "abcdefgh"]
+    for _ in range(200):
+        texts = ["".join(pick.choice(parts) for _ in range(pick.randrange(30))) for _ in range(4)]
+        for text, found in zip(texts, jaccard.shingle_rows([t.encode() for t in texts]), strict=True):
+            words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
+            size = min(5, len(words))
+            want = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} if words else set()
+            assert len(set(found.tolist())) == len(want)
+            assert sorted(set(found.tolist())) == jaccard.shingles(text).tolist()
+
+
+def test_op5_entries_without_a_partner_of_a_fitting_size_are_left_out(spark):
+    from skillgauge.llm import jaccard
+
+    sizes = {"a": 100, "b": 121, "c": 200, "d": 250, "e": 313}
+    rows = [(1, name.encode(), n, 0) for name, n in sizes.items()]
+    entries = spark.createDataFrame([*rows, (2, b"a", 100, 1)], "token long, id binary, n long, place int")
+    kept = jaccard.shared_entries(entries, jaccard.SHARE).collect()
+    assert sorted((r.token, bytes(r.id)) for r in kept) == [(1, b"a"), (1, b"b"), (1, b"c"), (1, b"d")]
+    # With two spare entries a set needs three, and keeps all but two.
+    assert jaccard.spare_length(100, jaccard.SHARE) == 8 and jaccard.spare_length(80, jaccard.SHARE) == 6
+    held = [(t, b"x", 100, t) for t in range(9)] + [(t, b"y", 100, t) for t in range(6)]
+    left = jaccard.needed_entries(spark.createDataFrame(held, "token long, id binary, n long, place int"), jaccard.SHARE)
+    assert sorted((r.token, bytes(r.id)) for r in left.collect()) == [(0, b"x"), (1, b"x"), (2, b"x")]
+
+
+def test_op5_a_pair_of_many_lists_is_given_once(spark):
+    import numpy as np
+    from skillgauge.llm import jaccard
+
+    base = np.random.default_rng(4).integers(0, 2**63, 200, dtype=np.uint64)
+    marks = [int(w) for w in jaccard.sketch(np.unique(base))]
+    rows = [(token, bytes([k]), 200, token, bytes([k]), None, None, marks) for token in range(6) for k in range(5)]
+    schema = "token long, id binary, n long, place int, label binary, pivot binary, distance double, sketch array<long>"
+    reach = jaccard.with_earlier(spark.createDataFrame(rows, schema)).orderBy("id", "token").collect()
+    assert [list(r.earlier) for r in reach[:6]] == [list(range(k)) for k in range(6)]
+    n, place, near = np.full(5, 200), np.arange(5), np.zeros(5)
+    ids = np.array([bytes([k]) for k in range(5)], object)
+    held = np.tile(np.array(marks).view(np.uint64), (5, 1))
+    given = []
+    for token in range(6):
+        earlier = np.tile(np.r_[np.arange(token), np.zeros(jaccard.EARLIER - token)].astype(np.int64), (5, 1))
+        run = jaccard.Run(ids, ids, ids, n, place * 0 + token, near, held, earlier, np.tile(np.arange(jaccard.EARLIER) < token, (5, 1)))
+        i, j = run.pairs(run, jaccard.SHARE, 0.3)
+        given += [(a, b) for a, b in zip(i.tolist(), j.tolist(), strict=True) if a < b]
+    assert len(given) == 10
+
+
+def test_op5_only_wanted_texts_are_packed(spark):
+    from skillgauge.llm import jaccard
+
+    docs = spark.createDataFrame([(k, f"text {k} of some words here") for k in range(300)] + [(None, "no id")], "doc_id long, text string")
+    sets = jaccard.described_sets(docs, 5, jaccard.SHARE)
+    wanted = sets.where("doc_id in (3, 77) or doc_id is null").selectExpr("key as id", "key", "doc_id as first")
+    marks = jaccard.id_filter(wanted.select("first"))
+    assert 0 < sum(int(w).bit_count() for w in marks) <= 3
+    assert jaccard.packed_texts(docs, wanted, 5).count() == 3
+
+
+def test_op5_near_copies_of_many_sizes_as_by_brute_force(spark, tmp_path):
+    from skillgauge.llm import jaccard
+
+    pick = random.Random(17)
+    docs = []
+    for size in (5, 9, 30, 180, 700, 2200):
+        base = [f"w{pick.randrange(40)}" for _ in range(size)]
+        for _ in range(9):
+            words = list(base)
+            for _ in range(pick.randrange(max(2, size // 30))):
+                words[pick.randrange(size)] = f"w{pick.randrange(60)}"
+            docs.append((len(docs) + 1, " ".join(words)))
+    sets = {}
+    for key, text in docs:
+        words = text.split()
+        sets[key] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    label = {k: k for k in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    for rounds in (0, 2):
+        found = jaccard.linked_components(spark.createDataFrame(docs, "doc_id long, text string"), lambda: f"{tmp_path}/{random.random()}", rounds=rounds)
+        assert sorted(map(tuple, found.collect())) == [(k, len(sets[k]), label[k]) for k in sorted(sets)]
+    assert 6 < len(set(label.values())) < len(label)
