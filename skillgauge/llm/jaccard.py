@@ -60,6 +60,7 @@ SKETCH_WORDS = 8
 WIDEST = 1024
 LARGE_SET = 4_000
 EARLIER = 8
+SKETCHES_AT_ONCE = 128 * 1024
 SPARE = (2, 5)
 BLOCK_BYTES = 256 * 1024
 LONG_WORD = 64
@@ -519,7 +520,10 @@ class Run:
         i, j = np.nonzero(fit & (best * (share[0] + share[1]) >= (n + m) * share[0]))
         words = min(self.marks.shape[1], other.marks.shape[1])
         mine, theirs = narrowed(self.marks, words), narrowed(other.marks, words)
-        bits = np.bitwise_count(mine[i] ^ theirs[j]).sum(axis=1, dtype=np.int64)
+        bits = np.empty(len(i), np.int64)
+        for at in range(0, len(i), step := max(1, SKETCHES_AT_ONCE // words)):
+            some = slice(at, at + step)
+            bits[some] = np.bitwise_count(mine[i[some]] ^ theirs[j[some]]).sum(axis=1, dtype=np.int64)
         near = bits * (share[0] + share[1]) <= (self.n[i] + other.n[j]) * (share[1] - share[0])
         i, j = i[near], j[near]
         # Distances to one pivot that differ by more than the gap rule out a link.

@@ -548,3 +548,23 @@ def test_op5_near_copies_of_many_sizes_as_by_brute_force(spark, tmp_path):
         found = jaccard.linked_components(spark.createDataFrame(docs, "doc_id long, text string"), lambda: f"{tmp_path}/{random.random()}", rounds=rounds)
         assert sorted(map(tuple, found.collect())) == [(k, len(sets[k]), label[k]) for k in sorted(sets)]
     assert 6 < len(set(label.values())) < len(label)
+
+
+def test_op5_pairs_of_wide_sketches_take_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    from skillgauge.llm import jaccard
+
+    drawn = np.random.default_rng(9)
+    size, words = jaccard.RUN_SETS, 128
+    ids = np.array([k.to_bytes(2) for k in range(size)], object)
+    marks = drawn.integers(0, 2**63, (size, words), dtype=np.uint64)
+    marks[7] = marks[3]
+    none = np.zeros((size, jaccard.EARLIER), np.int64)
+    run = jaccard.Run(ids, ids, ids, np.full(size, 9000), np.zeros(size, np.int64), np.zeros(size), marks, none, none.astype(bool))
+    tracemalloc.start()
+    i, j = run.pairs(run, jaccard.SHARE, 0.3)
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(3, 7), (7, 3)]
